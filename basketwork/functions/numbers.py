@@ -28,14 +28,14 @@ def non_negative(value: Column) -> Column:
     return F.when(value >= 0, value).otherwise(F.lit(0).cast("bigint"))
 
 
-def ratio(numerator: Column, denominator: Column, digits: int, times: int = 1) -> Column:
+def ratio(numerator: Column, denominator: Column, digits: int, times: int = 1, kind: str = WIDE) -> Column:
     """`times * numerator / denominator`, rounded; null on a zero denominator."""
-    scaled = numerator.cast(WIDE) * F.lit(times)
-    return F.round(scaled / F.nullif(denominator.cast(WIDE), F.lit(0).cast(WIDE)), digits).cast("double")
+    scaled = numerator.cast(kind) * F.lit(times)
+    return F.round(scaled / F.nullif(denominator.cast(kind), F.lit(0).cast(kind)), digits).cast("double")
 
 
-def percent(numerator: Column, denominator: Column, digits: int = 2) -> Column:
-    return ratio(numerator, denominator, digits, times=100)
+def percent(numerator: Column, denominator: Column, digits: int = 2, kind: str = WIDE) -> Column:
+    return ratio(numerator, denominator, digits, times=100, kind=kind)
 
 
 def mean(total: Column, count: Column) -> Column:

@@ -36,3 +36,8 @@ def is_blank(text: Column) -> Column:
 
 def is_email(text: Column) -> Column:
     return F.coalesce(text.rlike(EMAIL_PATTERN), F.lit(False))
+
+
+def clean_phone(phone: Column) -> Column:
+    """Only digits, `+ - ( )` and white space inside the number remain."""
+    return F.regexp_replace(trim_all(phone), PHONE_NOISE, "")
