@@ -6,27 +6,39 @@ are left out of results, since they differ from run to run.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketwork.operators import analytics, star
-from basketwork.plans.warehouse import sample_warehouse
+from basketwork.operators import analytics, lineage, quality, star, validation
+from basketwork.plans.warehouse import sample_path, sample_warehouse
 from basketwork.sources import sample_feeds
 from basketwork.sources.sample_feeds import AS_OF
 
 Query = Callable[[SparkSession, str], DataFrame]
 _LOADED = ("created_date", "last_updated_date", "created_timestamp")
+NOW = dt.datetime.combine(AS_OF, dt.time(12))
+# the sample tables end in 2001, so reports since 2024 would be empty
+SINCE = dt.date(1998, 1, 1)
+# the columns whose newest value stands for the load time of each table
+TIMES = {
+    "dim_customers": "registration_date",
+    "dim_products": "created_date",
+    "dim_campaigns": "start_date",
+    "fact_sales_transactions": "transaction_date",
+}
 
 
-def _show(df: DataFrame) -> DataFrame:
-    """Drop load timestamps and turn decimals into doubles."""
+def _show(df: DataFrame, *dropped: str) -> DataFrame:
+    """Drop load timestamps; decimals as doubles, timestamps without zone."""
+    shown = {"decimal": "double", "timestamp": "timestamp_ntz"}
     return df.select(
         *[
-            F.col(name).cast("double").alias(name) if kind.startswith("decimal") else F.col(name)
+            F.col(name).cast(shown[kind.split("(")[0]]).alias(name) if kind.split("(")[0] in shown else F.col(name)
             for name, kind in df.dtypes
-            if name not in _LOADED
+            if name not in dropped + _LOADED
         ]
     )
 
@@ -64,5 +76,109 @@ ANALYTICS: dict[str, Query] = {
 }
 
 
+
+def _check(build: Callable) -> Query:
+    """A quality check without its time of checking."""
+    return _on_warehouse(lambda w: _show(build(w), "check_timestamp"))
+
+
+def _raw_uniqueness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    feeds = sample_feeds.all_feeds(spark, sf_dir)
+    keys = ("customer_id", "product_id", "campaign_id", "transaction_id")
+    keyed = {name: (df, key) for (name, df), key in zip(feeds.items(), keys)}
+    emails = feeds["customers"].filter(F.col("email").isNotNull())
+    return _show(quality.uniqueness({**keyed, "customers_email": (emails, "email")}, NOW), "check_timestamp")
+
+
+def _primary_keys(w) -> dict:
+    return {name: pair for name, pair in quality.unique_keys(w).items() if name != quality.EMAIL_CHECK}
+
+
+def _of_type(check_type: str, per_dimension: bool = False) -> Callable:
+    return lambda w: quality.integrity(w, NOW, per_dimension).filter(F.col("check_type") == check_type)
+
+
+def _results(w) -> DataFrame:
+    return quality.run_all(w, NOW, TIMES)
+
+
+QUALITY: dict[str, Query] = {
+    "q1_uniqueness": _raw_uniqueness,
+    "q1_uniqueness_clean": _check(lambda w: quality.uniqueness(_primary_keys(w), NOW)),
+    "q1_uniqueness_warehouse": _check(lambda w: quality.uniqueness(quality.unique_keys(w), NOW)),
+    "q2_completeness": _check(lambda w: quality.completeness(quality.profile(w), NOW)),
+    "q3_fk_integrity": _check(_of_type(quality.FOREIGN_KEYS)),
+    "q4_dim_utilisation": _check(_of_type(quality.UTILISATION)),
+    "q4_dim_utilisation_per_dimension": _on_warehouse(
+        lambda w: _of_type(quality.UTILISATION, True)(w).select(
+            "relationship_name", "total_records", "orphaned_records", "percentage"
+        )
+    ),
+    "q5_integrity_report": _check(lambda w: quality.integrity(w, NOW)),
+    "q6_freshness": _check(lambda w: quality.freshness(quality.profile(w, times=TIMES), NOW)),
+    "q7_volume": _check(lambda w: quality.volume(quality.profile(w), NOW)),
+    "q8_results": _on_warehouse(lambda w: _show(_results(w))),
+    "q9_health": _on_warehouse(lambda w: quality.health(_results(w), AS_OF)),
+    "m1_latest": _on_warehouse(lambda w: _show(quality.latest_results(_results(w)))),
+    "m4_patterns": _on_warehouse(lambda w: quality.result_patterns(_results(w))),
+}
+
+
+def _gates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    w = sample_warehouse(spark, sf_dir)
+    return validation.table_counts({**sample_feeds.all_feeds(spark, sf_dir), **w.tables})
+
+
+VALIDATION: dict[str, Query] = {
+    "v1_tables": lambda spark, d: validation.table_listing(spark, sample_path(spark, d)),
+    "v2_counts": _on_warehouse(lambda w: validation.table_counts(w.tables)),
+    "v4_v5_fk": _on_warehouse(validation.customer_and_product_keys),
+    "v6_campaign_fk": _on_warehouse(validation.campaign_key),
+    "v7_orphans": _on_warehouse(validation.orphans),
+    "v8_keys": _on_warehouse(validation.key_uniqueness),
+    "v9_completeness": _on_warehouse(validation.field_completeness),
+    "v10_nulls": _on_warehouse(validation.required_nulls),
+    "v11_dates": _on_warehouse(lambda w: validation.date_range(w, AS_OF, SINCE)),
+    "v12_country": _on_warehouse(validation.revenue_by_country),
+    "v13_multi": _on_warehouse(lambda w: validation.multi_dimensional(w, SINCE)),
+    "v14_monthly": _on_warehouse(lambda w: validation.monthly_revenue(w, SINCE)),
+    "v15_summary": _on_warehouse(lambda w: _show(validation.summary(w, NOW))),
+    "v16_country_kpi": _on_warehouse(validation.country_kpis),
+    "v17_category": _on_warehouse(validation.category_revenue),
+    "g2_g4_gates": _gates,
+}
+
+
+def _on_history(build: Callable) -> Query:
+    """A lineage report over the captured run history of the sample events."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        registry = lineage.seed(spark, NOW)
+        captures = sample_feeds.captured_relationships(spark, sf_dir)
+        return _show(
+            build(lineage.Lineage(registry.sources, registry.targets, registry.transformations, captures))
+        )
+
+    return query
+
+
+def _on_log(build: Callable) -> Query:
+    return lambda spark, d: _show(build(sample_feeds.execution_log(spark, d)))
+
+
+LINEAGE: dict[str, Query] = {
+    "l7_complete": _on_history(lineage.complete_lineage),
+    "l8_field": _on_history(lineage.field_lineage),
+    "l9_impact": _on_history(lineage.quality_impact),
+    "l10_dependencies": _on_history(lineage.pipeline_dependencies),
+    "l11_summary": _on_history(lineage.summary),
+    "l12_executions": _on_log(lineage.executions),
+    "l13_edges": _on_history(lambda registry: registry.active()),
+    "l14_running_times": _on_log(lineage.running_times),
+    "m2_edges": _on_history(lineage.edges),
+    "m3_runs": _on_log(lineage.latest_executions),
+}
+
+
 def all_queries() -> dict[str, Query]:
-    return {**STAR, **ANALYTICS}
+    return {**STAR, **ANALYTICS, **QUALITY, **VALIDATION, **LINEAGE}

@@ -69,12 +69,22 @@ def load(spark: SparkSession, path: str) -> Warehouse:
 _built: dict[tuple[str, str], Warehouse] = {}
 
 
+def _sample_path(spark: SparkSession, sf_dir: str) -> str:
+    name = sf_dir.strip("/").replace("/", "_")
+    return f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{name}/warehouse"
+
+
+def sample_path(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of the built sample warehouse."""
+    sample_warehouse(spark, sf_dir)
+    return _sample_path(spark, sf_dir)
+
+
 def sample_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     """The warehouse of the sample feeds, built once per application and input folder."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _built:
-        name = sf_dir.strip("/").replace("/", "_")
-        path = f"{shared_dir(spark)}/{key[0]}/{name}/warehouse"
         loaded_at = F.lit(dt.datetime.combine(sample_feeds.AS_OF, dt.time(6)))
-        _built[key] = build(sample_feeds.all_feeds(spark, sf_dir), path, sample_feeds.AS_OF, loaded_at)
+        feeds = sample_feeds.all_feeds(spark, sf_dir)
+        _built[key] = build(feeds, _sample_path(spark, sf_dir), sample_feeds.AS_OF, loaded_at)
     return _built[key]

@@ -219,3 +219,86 @@ def all_feeds(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         "marketing_campaigns": campaigns(spark, sf_dir),
         "sales_transactions": transactions(spark, sf_dir),
     }
+
+
+# Which pipeline step each kind of event stands for in the run log.
+EVENT_STEPS = {
+    "click": "customers",
+    "view": "products",
+    "signup": "marketing_campaigns",
+    "purchase": "sales_transactions",
+    "error": "dim_customers",
+}
+
+
+def _step(event_type: Column, part: int) -> Column:
+    from basketwork.functions.numbers import first_match
+    from basketwork.operators.lineage_seeds import CAPTURES
+
+    rules = [(event_type == kind, CAPTURES[name][part]) for kind, name in EVENT_STEPS.items()]
+    return first_match(rules, None)
+
+
+def captured_relationships(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lineage captures of a run history: each event is one captured relationship."""
+    c, kind = F.col, F.col("event_type")
+    rule = F.when(_every("user_id", 7), F.lit("TRANS_NOT_REGISTERED")).otherwise(_step(kind, 2))
+    return table(spark, sf_dir, "events").select(
+        F.concat(F.lit("RT_"), kind, F.lit("_"), c("event_id").cast("string")).alias("relationship_id"),
+        _step(kind, 0).alias("source_id"),
+        _step(kind, 1).alias("target_id"),
+        rule.alias("transformation_id"),
+        _step(kind, 3).alias("relationship_type"),
+        (_step(kind, 4).cast("decimal(4,2)") - (c("user_id") % 4) * F.lit("0.05").cast("decimal(3,2)"))
+        .cast("double")
+        .alias("confidence_score"),
+        _step(kind, 5).alias("pipeline_name"),
+        F.concat(F.lit("dag_"), kind).alias("dag_id"),
+        F.concat(F.lit("task_"), (c("user_id") % 5).cast("string")).alias("task_id"),
+        c("ts").cast("timestamp").alias("execution_date"),
+        c("ts").cast("timestamp").alias("created_timestamp"),
+        (~_every("event_id", 10)).alias("is_active"),
+    )
+
+
+def execution_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An append-only log: each event starts an execution, most also end it."""
+    c, kind = F.col, F.col("event_type")
+    events = table(spark, sf_dir, "events").withColumns(
+        {"__start": c("ts").cast("timestamp"), "__seconds": F.floor("value").cast("bigint")}
+    )
+    ids = [
+        F.concat(kind, F.lit("_"), c("event_id").cast("string")).alias("execution_id"),
+        F.concat(F.lit("dag_"), kind).alias("dag_id"),
+        F.concat(F.lit("task_"), (c("user_id") % 5).cast("string")).alias("task_id"),
+        F.concat(F.lit("run_"), c("user_id").cast("string")).alias("run_id"),
+        F.lit("").alias("source_table"),
+        _step(kind, 1).alias("target_table"),
+    ]
+    failed = kind == "error"
+    start = events.select(
+        *ids,
+        F.lit(None).cast("bigint").alias("records_processed"),
+        F.lit("RUNNING").alias("execution_status"),
+        c("__start").alias("start_time"),
+        F.lit(None).cast("timestamp").alias("end_time"),
+        F.lit(None).cast("bigint").alias("execution_duration_seconds"),
+        F.lit(None).cast("string").alias("error_message"),
+        F.lit(False).alias("lineage_captured"),
+        c("__start").alias("created_timestamp"),
+    )
+    ended_at = c("__start") + F.make_dt_interval(secs=c("__seconds").cast("decimal(18,6)"))
+    end = events.filter(~_every("user_id", 20)).select(
+        *ids,
+        F.when(failed, F.lit(0)).otherwise(F.get_json_object("props", "$.k").cast("bigint")).alias("records_processed"),
+        F.when(failed, "FAILED").otherwise("SUCCESS").alias("execution_status"),
+        c("__start").alias("start_time"),
+        ended_at.alias("end_time"),
+        c("__seconds").alias("execution_duration_seconds"),
+        F.when(failed, F.concat(F.lit("code "), F.get_json_object("props", "$.k"))).otherwise(F.lit("")).alias(
+            "error_message"
+        ),
+        F.lit(True).alias("lineage_captured"),
+        ended_at.alias("created_timestamp"),
+    )
+    return start.unionByName(end)

@@ -4,6 +4,6 @@ from __future__ import annotations
 
 
 def all_oracles() -> dict[str, str]:
-    from oracles import analytics, star
+    from oracles import analytics, checks, lineage, star
 
-    return {**star.ORACLES, **analytics.ORACLES}
+    return {**star.ORACLES, **analytics.ORACLES, **checks.ORACLES, **lineage.ORACLES}
