@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from basketwork import schemas
 from basketwork.functions.numbers import count_if, first_match
 from basketwork.operators.lineage_seeds import RELATIONSHIPS, SOURCES, TARGETS, TRANSFORMATIONS
+from basketwork.sources.tables import small_table
 
 # Limits and labels of the lineage reports.
 CONFIDENCE_LEVELS = [(0.95, "HIGH_CONFIDENCE"), (0.85, "MEDIUM_CONFIDENCE")]
@@ -50,10 +51,12 @@ def seed(spark: SparkSession, created: dt.datetime) -> Lineage:
     """The predefined sources, targets, rules and relationships."""
 
     def frame(rows: list[tuple], columns: str, schema, **extra: Column) -> DataFrame:
-        df = spark.createDataFrame(rows, ", ".join(f"{c} {schema[c].dataType.simpleString()}" for c in columns.split()))
-        return df.withColumns(extra).select(
-            *[F.col(f.name).cast(f.dataType).alias(f.name) if f.name in (*columns.split(), *extra)
-              else F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
+        df = small_table(spark, rows, columns.split()).withColumns(extra)
+        return df.select(
+            *[
+                (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+                for f in schema.fields
+            ]
         )
 
     now = F.lit(created)

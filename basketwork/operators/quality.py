@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from basketwork.functions.numbers import count_if, first_match, percent
 from basketwork.operators.joins import matched_counts
 from basketwork.operators.warehouse import KEYS, Warehouse
+from basketwork.sources.tables import small_table
 
 # Check names, thresholds, statuses and texts.
 UNIQUENESS, COMPLETENESS = "UNIQUENESS_CHECK", "COMPLETENESS_CHECK"
@@ -273,9 +274,10 @@ def volume(
     expected: Mapping[str, tuple[int, int]] = EXPECTED_VOLUMES,
 ) -> DataFrame:
     """Q7: row counts against the expected range of each table."""
-    ranges = table_profile.sparkSession.createDataFrame(
+    ranges = small_table(
+        table_profile.sparkSession,
         [(name, low, high) for name, (low, high) in expected.items()],
-        "table_name string, min_expected bigint, max_expected bigint",
+        ["table_name", "min_expected", "max_expected"],
     )
     n = F.col("actual_count")
     status = first_match(

@@ -77,3 +77,10 @@ def export_csv(df: DataFrame, path: str, limit: int | None = None) -> int:
     rows = df if limit is None else df.limit(limit)
     rows.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").option("header", True).csv(path)
     return int(seen.get["n"])
+
+
+def small_table(spark: SparkSession, rows: list[tuple], columns: list[str]) -> DataFrame:
+    """A few fixed rows as a local relation: no Python workers, size known to the planner."""
+    import pyarrow as pa
+
+    return spark.createDataFrame(pa.table({name: [row[i] for row in rows] for i, name in enumerate(columns)}))
