@@ -7,15 +7,21 @@ are left out of results, since they differ from run to run.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketwork.operators import analytics, lineage, quality, star, validation
+from basketwork import schemas
+from basketwork.operators import analytics, lineage, monitoring, quality, star, validation
+from basketwork.plans import pipeline
+from basketwork.plans.landing import landed_feeds
 from basketwork.plans.warehouse import sample_path, sample_warehouse
-from basketwork.sources import sample_feeds
+from basketwork.session import shared_dir
+from basketwork.sources import contracts, documents, lake, sample_feeds, tables
 from basketwork.sources.sample_feeds import AS_OF
+from basketwork.streaming import transactions as stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 _LOADED = ("created_date", "last_updated_date", "created_timestamp")
@@ -180,5 +186,157 @@ LINEAGE: dict[str, Query] = {
 }
 
 
+
+def _fresh_folder(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+
+
+def _on_raw(build: Callable) -> Query:
+    """A query over the landed raw drops."""
+    return lambda spark, d: _show(build(spark, landed_feeds(spark, d)))
+
+
+def _customer_rows(spark: SparkSession, raw: dict) -> DataFrame:
+    return lake.read_latest_customers(spark, f"{raw['root']}/raw")
+
+
+def _contract_report(spark: SparkSession, raw: dict) -> DataFrame:
+    report = contracts.column_report(_customer_rows(spark, raw), schemas.REQUIRED["customers"])
+    joined = {name: F.array_join(name, ",") for name in ("missing_columns", "extra_columns")}
+    return report.withColumns(joined)
+
+
+def _campaign_documents(spark: SparkSession, raw: dict) -> DataFrame:
+    docs = documents.read_documents(spark, raw["marketing_campaigns"], "marketing_campaigns")
+    shown = docs.drop("document_id", "created_date", "updated_date")
+    return lake.iso_timestamps(documents.campaign_documents(docs).select(shown.columns))
+
+
+def _sale_documents(spark: SparkSession, raw: dict, cap: int | None) -> DataFrame:
+    docs = documents.read_documents(spark, raw["sales_transactions"], "sales_transactions")
+    return documents.fill_campaign(documents.sale_documents(docs, cap)).drop("document_id", "updated_date")
+
+
+def _all_sale_documents(spark: SparkSession, raw: dict) -> DataFrame:
+    docs = documents.read_documents(spark, raw["sales_transactions"], "sales_transactions")
+    return docs.drop("document_id", "updated_date")
+
+
+def _staging_modes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Load two feeds twice: customers are appended, products replaced."""
+    folder, counts = _fresh_folder(spark), []
+    feeds = sample_feeds.all_feeds(spark, sf_dir)
+    for feed in ("customers", "products"):
+        mode = pipeline.STAGING_MODES[feed]
+        for _ in range(2):
+            tables.write_staging(feeds[feed], f"{folder}/{feed}", mode)
+        n = tables.stored(spark, f"{folder}/{feed}").agg(F.count(F.lit(1)).alias("record_count"))
+        counts.append(n.select(F.lit(feed).alias("table_name"), F.lit(mode).alias("mode"), "record_count"))
+    return counts[0].unionByName(counts[1])
+
+
+def _partitioned_write(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write the fact by day, then read half a year of it."""
+    path = f"{_fresh_folder(spark)}/fact"
+    tables.write_fact(sample_warehouse(spark, sf_dir).sales, path, by_day=True)
+    day = F.col("transaction_date")
+    year = tables.stored(spark, path).filter((day >= F.lit(dt.date(2001, 1, 1))) & (day < F.lit(dt.date(2001, 7, 1))))
+    return year.groupBy("transaction_date").agg(
+        F.count(F.lit(1)).alias("transactions"), F.sum("amount").cast("double").alias("revenue")
+    )
+
+
+def _export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Export a report as CSV and read it back."""
+    path = f"{_fresh_folder(spark)}/seasonal"
+    report = analytics.seasonal_analysis(sample_warehouse(spark, sf_dir))
+    tables.export_csv(report, path)
+    return spark.read.option("header", True).schema(report.schema).csv(path)
+
+
+def _ingestion_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{_fresh_folder(spark)}/events"
+    for feed, df in sample_feeds.all_feeds(spark, sf_dir).items():
+        lake.log_ingestion(spark, path, feed, "raw", "SUCCESS", df.count(), at=NOW)
+    return tables.stored(spark, path, schemas.INGESTION_EVENTS).select("source", "layer", "status", "record_count")
+
+
+def _props(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sample_feeds.table(spark, sf_dir, "events").select("event_id", "props")
+
+
+def _first_record(spark: SparkSession, sf_dir: str) -> DataFrame:
+    report = contracts.first_record_report(_props(spark, sf_dir), "props", ["k", "source"], F.col("event_id"))
+    return report.withColumn("missing_keys", F.array_join("missing_keys", ","))
+
+
+def _streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stream the landed sales into a staging table and count them by status."""
+    folder = _fresh_folder(spark)
+    sales = stream.read_stream(spark, landed_feeds(spark, sf_dir)["sales_transactions"])
+    stream.load_stream(stream.first_deliveries(sales), f"{folder}/staging", f"{folder}/state").awaitTermination()
+    return tables.stored(spark, f"{folder}/staging").groupBy("status").agg(F.count(F.lit(1)).alias("n"))
+
+
+SOURCES: dict[str, Query] = {
+    "s1_latest_csv": _on_raw(lambda spark, raw: _customer_rows(spark, raw).drop("source_file")),
+    "s2_api_pages": _on_raw(
+        lambda spark, raw: documents.products_from_pages(documents.read_pages(spark, raw["products"]))
+    ),
+    "s3_campaign_documents": _on_raw(_campaign_documents),
+    "s4_newest_per_status": _on_raw(lambda spark, raw: _sale_documents(spark, raw, 200)),
+    "s5_contract_report": _on_raw(_contract_report),
+    "s6_json_keys": lambda spark, d: contracts.key_report(_props(spark, d), "props", ["k", "source"]),
+    "s6_first_record": _first_record,
+    "s13_documents": _on_raw(_all_sale_documents),
+    "s14_layer_listing": _on_raw(lambda spark, raw: lake.list_layer(spark, raw["root"], "raw")),
+    "s15_s16_staging_modes": _staging_modes,
+    "s18_partitioned_write": _partitioned_write,
+    "s22_export": _export,
+    "s23_file_freshness": _on_raw(lambda spark, raw: lake.file_freshness(spark, raw["root"], "raw")),
+    "s24_ingestion_events": _ingestion_events,
+}
+
+
+def _on_results(build: Callable) -> Query:
+    return _on_warehouse(lambda w: build(_results(w)))
+
+
+def _health_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    log = sample_feeds.execution_log(spark, sf_dir)
+    return monitoring.health_score(_results(sample_warehouse(spark, sf_dir)), log)
+
+
+def _stored_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{_fresh_folder(spark)}/daily_sales"
+    monitoring.daily_sales(sample_warehouse(spark, sf_dir)).write.parquet(path)
+    return _show(tables.stored(spark, path))
+
+
+def _quarantined(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = _fresh_folder(spark)
+    monitoring.quarantine(sample_warehouse(spark, sf_dir).sales, f"{folder}/good", f"{folder}/bad")
+    return tables.stored(spark, f"{folder}/bad").select("transaction_id", "reasons")
+
+
+MONITORING: dict[str, Query] = {
+    "d1_campaign_window": _on_warehouse(monitoring.outside_campaign_window),
+    "d2_rules": lambda spark, d: monitoring.rule_violations(sample_feeds.all_feeds(spark, d)),
+    "d3_campaign_kpis": _on_warehouse(monitoring.campaign_kpis),
+    "d3_business_kpis": _on_warehouse(monitoring.business_kpis),
+    "d4_daily_volumes": _on_warehouse(monitoring.daily_volumes),
+    "d4_concurrent_campaigns": _on_warehouse(monitoring.concurrent_campaigns),
+    "d4_catalogue_change": _on_warehouse(lambda w: monitoring.catalogue_change(w, 1900)),
+    "d5_completeness_limits": _on_warehouse(monitoring.completeness_limits),
+    "d6_health_score": _health_score,
+    "d7_severity": _on_results(monitoring.severities),
+    "d8_slow_steps": _on_log(monitoring.slow_steps),
+    "d9_quarantine": _quarantined,
+    "d10_daily_sales": _stored_rollup,
+    "d11_streamed_sales": _streamed,
+    "d12_expected_records": lambda spark, d: monitoring.expected_records(sample_feeds.all_feeds(spark, d)),
+}
+
+
 def all_queries() -> dict[str, Query]:
-    return {**STAR, **ANALYTICS, **QUALITY, **VALIDATION, **LINEAGE}
+    return {**STAR, **ANALYTICS, **QUALITY, **VALIDATION, **LINEAGE, **SOURCES, **MONITORING}

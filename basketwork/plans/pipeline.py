@@ -75,21 +75,25 @@ def read_raw(spark: SparkSession, raw: dict[str, str], feed: str, cap: int | Non
 def ingest(spark: SparkSession, layout: Layout, raw: dict[str, str], feed: str, at: dt.datetime, cap: int | None) -> int:
     """Contract, metadata, copy to the lake, staging table; returns the record count."""
     rows = read_raw(spark, raw, feed, cap)
-    contracts.enforce(contracts.column_report(rows, schemas.REQUIRED[feed]), feed, ON_VIOLATION[feed])
+    contracts.require_columns(rows, schemas.REQUIRED[feed], feed, ON_VIOLATION[feed])
     rows = lake.with_metadata(rows, feed, raw.get(feed, feed), F.lit(at))
-    columns = schemas.STAGING[feed].fields
+    schema = schemas.STAGING[feed]
     typed = rows.select(
         *[
             (F.col(f.name) if f.name in rows.columns else F.lit(None)).cast(f.dataType).alias(f.name)
-            for f in columns
+            for f in schema.fields
         ]
     )
-    sink = lake.write_csv if feed == "customers" else lake.write_json
-    sink(typed, layout.lake, "processed", feed, at)
-    path = f"{layout.staging}/{feed}"
-    create_if_absent(spark, path, schemas.STAGING[feed])
     seen = Observation()
-    write_staging(typed.observe(seen, F.count(F.lit(1)).alias("n")), path, STAGING_MODES[feed])
+    counted = typed.observe(seen, F.count(F.lit(1)).alias("n"))
+    # the raw feed is evaluated once, for the lake; staging loads that drop
+    if feed == "customers":
+        loaded = lake.read_csv(spark, lake.write_csv(counted, layout.lake, "processed", feed, at), schema)
+    else:
+        loaded = spark.read.schema(schema).json(lake.write_json(counted, layout.lake, "processed", feed, at))
+    path = f"{layout.staging}/{feed}"
+    create_if_absent(spark, path, schema)
+    write_staging(loaded, path, STAGING_MODES[feed])
     records = int(seen.get["n"])
     lake.log_ingestion(spark, layout.events, feed, "processed", "SUCCESS", records, at=at)
     return records

@@ -63,12 +63,22 @@ def first_record_report(df: DataFrame, json: str, required: Sequence[str], order
     )
 
 
+def require_columns(df: DataFrame, required: Sequence[str], feed: str, on_violation: str) -> None:
+    """S7 from the column names alone, without reading any row."""
+    missing = [name for name in required if name not in df.columns]
+    if missing:
+        _violated(f"{feed}: missing columns: {', '.join(missing)}", on_violation)
+
+
+def _violated(message: str, on_violation: str) -> None:
+    if on_violation == "raise":
+        raise ContractError(message)
+    logger.warning(message)
+
+
 def enforce(report: DataFrame, feed: str, on_violation: str) -> int:
     """Raise or warn when the one-row report is not valid; returns the record count."""
     row = report.first()
     if not row["valid"]:
-        message = f"{feed}: contract not met: {row.asDict()}"
-        if on_violation == "raise":
-            raise ContractError(message)
-        logger.warning(message)
+        _violated(f"{feed}: contract not met: {row.asDict()}", on_violation)
     return row["record_count"]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 
 def all_oracles() -> dict[str, str]:
-    from oracles import analytics, checks, lineage, star
+    from oracles import analytics, checks, lineage, monitoring, sources, star
 
-    return {**star.ORACLES, **analytics.ORACLES, **checks.ORACLES, **lineage.ORACLES}
+    parts = (star, analytics, checks, lineage, sources, monitoring)
+    return {name: text for part in parts for name, text in part.ORACLES.items()}
