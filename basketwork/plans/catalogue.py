@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from basketwork import schemas
 from basketwork.operators import analytics, lineage, monitoring, quality, star, validation
 from basketwork.plans import pipeline
+from basketwork.plans import warehouse as warehouses
 from basketwork.plans.landing import landed_feeds
 from basketwork.plans.warehouse import sample_path, sample_warehouse
 from basketwork.session import shared_dir
@@ -238,7 +239,8 @@ def _staging_modes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _partitioned_write(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write the fact by day, then read half a year of it."""
     path = f"{_fresh_folder(spark)}/fact"
-    tables.write_fact(sample_warehouse(spark, sf_dir).sales, path, by_day=True)
+    sales = sample_warehouse(spark, sf_dir).sales
+    tables.write_fact(sales, path, by_day=True, large_days=warehouses.days_are_large(sales))
     day = F.col("transaction_date")
     year = tables.stored(spark, path).filter((day >= F.lit(dt.date(2001, 1, 1))) & (day < F.lit(dt.date(2001, 7, 1))))
     return year.groupBy("transaction_date").agg(

@@ -45,12 +45,13 @@ def build(
         feeds["sales_transactions"], customers, products, loaded_at, empty_campaign_as_null
     )
     if by_day is None:
-        by_day = _days_are_large(feeds["sales_transactions"])
+        by_day = days_are_large(feeds["sales_transactions"])
     write_fact(fact, f"{path}/fact_sales_transactions", by_day)
     return Warehouse(customers, products, campaigns, stored(spark, f"{path}/fact_sales_transactions"))
 
 
-def _days_are_large(transactions: DataFrame) -> bool:
+def days_are_large(transactions: DataFrame) -> bool:
+    """Whether an average day of sales fills a file of useful size."""
     size = transactions.agg(
         F.count(F.lit(1)).alias("n"),
         F.greatest(F.datediff(F.max("transaction_date"), F.min("transaction_date")), F.lit(1)).alias("days"),

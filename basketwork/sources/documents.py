@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -17,7 +15,7 @@ SALE_STATUSES = ["completed", "pending", "cancelled"]
 EXTRACTION_CAP = 10200
 
 SALTS = 64
-_NO_DAY = dt.date(1, 1, 1)
+_NO_DAY = "0001-01-01"  # sales without date count as oldest
 
 
 class PageError(RuntimeError):
@@ -74,7 +72,7 @@ def sale_documents(docs: DataFrame, cap: int | None = None, statuses: list[str]
     kept = docs.filter(F.col("status").isin(statuses or SALE_STATUSES))
     if cap is None:
         return kept
-    day = F.coalesce(F.to_date("transaction_date"), F.lit(_NO_DAY))
+    day = F.coalesce(F.to_date("transaction_date"), F.to_date(F.lit(_NO_DAY)))
     dated = kept.withColumn("__day", day)
     cut = _cut_days(dated, cap)
     marked = dated.join(F.broadcast(cut), "status", "left")  # one row per status

@@ -45,17 +45,21 @@ def write_dimension(df: DataFrame, name: str, path: str) -> None:
     df.hint("rebalance", columns[0]).sortWithinPartitions(*columns).write.mode("overwrite").parquet(path)
 
 
-def write_fact(df: DataFrame, path: str, by_day: bool = True, mode: str = "overwrite") -> None:
+def write_fact(df: DataFrame, path: str, by_day: bool = True, large_days: bool = True, mode: str = "overwrite") -> None:
     """Replace the fact, one folder per day, clustered inside each file.
 
     Rebalancing gathers a day's rows in few files and lets AQE split a day that
     is far larger than the others, such as the placeholder for missing dates.
+    With `large_days=False` all cores share the many small day files instead.
     With `by_day=False` days share files sorted by date, for tables whose days
     would be tiny files. With dynamic partition overwrite (`session.SETTINGS`),
     writing some days again replaces just those days.
     """
-    sorted_rows = df.hint("rebalance", PARTITION).sortWithinPartitions(PARTITION, *CLUSTERING[FACT])
-    writer = sorted_rows.write.mode(mode)
+    if by_day and not large_days:
+        spread = df.repartition(df.sparkSession.sparkContext.defaultParallelism, PARTITION)
+    else:
+        spread = df.hint("rebalance", PARTITION)
+    writer = spread.sortWithinPartitions(PARTITION, *CLUSTERING[FACT]).write.mode(mode)
     (writer.partitionBy(PARTITION) if by_day else writer).parquet(path)
 
 
