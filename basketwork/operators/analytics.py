@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from basketwork.functions.numbers import count_if, first_match, mean, percent, ratio
 from basketwork.operators.warehouse import Warehouse
+from basketwork.session import checkpointed
 
 # Limits of the reports, and labels of their classes.
 MIN_CLV_REVENUE = 1000
@@ -190,13 +191,16 @@ def channel_performance(w: Warehouse) -> DataFrame:
         "dim_campaigns",
         {"channel": "channel", "actual_spend": "spend"},
     )
-    grouped = _by_group(
-        sales,
-        "channel",
-        n=_n(),
-        revenue=_revenue(),
-        spend=F.sum(F.coalesce("spend", F.lit(0))),
-        divisor=F.sum(F.coalesce("spend", F.lit(1))),
+    # one row per channel, read twice below
+    grouped = checkpointed(
+        _by_group(
+            sales,
+            "channel",
+            n=_n(),
+            revenue=_revenue(),
+            spend=F.sum(F.coalesce("spend", F.lit(0))),
+            divisor=F.sum(F.coalesce("spend", F.lit(1))),
+        )
     )
     overall = grouped.select(F.sum("revenue")).scalar()
     revenue, divisor = F.col("revenue"), F.col("divisor")
@@ -238,7 +242,9 @@ def product_performance(
         revenue=_revenue(),
         selling=F.sum("unit_price"),
         catalog=F.sum("price"),
-    ).filter(F.col("n") >= min_sales)
+    )
+    # one row per category and brand, read three times below
+    groups = checkpointed(groups.filter(F.col("n") >= min_sales))
     best = groups.orderBy(F.desc("revenue"), "category", "brand").limit(top)
     levels = best.select(F.collect_set("units")).scalar()
     larger = (

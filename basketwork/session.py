@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job here relies on. AQE coalesces small shuffle partitions,
 # splits skewed join partitions and splits hot days on write (rebalance).
@@ -44,3 +44,14 @@ def shared_dir(spark: SparkSession) -> str:
     folder = tempfile.mkdtemp(prefix="basketwork-")
     spark.conf.set("spark.checkpoint.dir", folder)
     return folder
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """A small result that several parts of a plan read, computed once.
+
+    The rows are written to the shared folder, so they survive lost executors.
+    """
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_dir(df.sparkSession))
+    return df.checkpoint()
