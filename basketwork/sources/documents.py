@@ -82,12 +82,12 @@ def sale_documents(docs: DataFrame, cap: int | None = None, statuses: list[str]
 
 
 def _cut_days(dated: DataFrame, cap: int) -> DataFrame:
-    """Per status with more than `cap` rows: the day of the last kept row and its quota."""
+    """Per status with at least `cap` rows: the day of the last kept row and its quota."""
     per_day = dated.groupBy("status", "__day").agg(F.count(F.lit(1)).alias("n"))
     newer = F.sum("n").over(Window.partitionBy("status").orderBy(F.desc("__day"))) - F.col("n")
     return (
         per_day.withColumn("newer", newer)
-        .filter((F.col("newer") < cap) & (F.col("newer") + F.col("n") > cap))
+        .filter((F.col("newer") < cap) & (F.col("newer") + F.col("n") >= cap))
         .select("status", F.col("__day").alias("__cut"), (F.lit(cap) - F.col("newer")).alias("__quota"))
     )
 

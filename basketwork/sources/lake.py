@@ -59,6 +59,7 @@ def latest_drop(spark: SparkSession, folder: str, prefix: str) -> str:
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Header CSV by column name; values that do not fit their type become null.
 
+    Empty fields are null, quoted or not: CSV does not tell missing from empty.
     Columns the schema does not know stay text, columns the file lacks are
     absent, so the contract check sees the file as delivered.
     """

@@ -21,7 +21,7 @@ DATA = Path("/root/testdata/sf0.001")
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     session = build_session(
-        "tests", "local[4]", spark_sql_shuffle_partitions="4", spark_ui_enabled="false",
+        "tests", "local[4]", spark_sql_shuffle_partitions="2", spark_ui_enabled="false",
         spark_ui_showConsoleProgress="false", spark_driver_memory="4g",
         spark_checkpoint_dir=str(tmp_path_factory.mktemp("shared")),
     )
@@ -63,7 +63,8 @@ def warehouse(feed):
         p = star.dim_products(feed("products", *products))
         m = star.dim_campaigns(feed("marketing_campaigns", *campaigns), as_of)
         numbered = [{"transaction_id": f"t{i}", **row} for i, row in enumerate(sales)]
-        return Warehouse(c, p, m, star.fact_sales(feed("sales_transactions", *numbered), c, p))
+        c, p, m = c.cache(), p.cache(), m.cache()
+        return Warehouse(c, p, m, star.fact_sales(feed("sales_transactions", *numbered), c, p).cache())
 
     return make
 
