@@ -161,7 +161,7 @@ def _by_group(rows: DataFrame, *group: str, **sums: Column) -> DataFrame:
 def campaign_roi(w: Warehouse) -> DataFrame:
     """A4: return per campaign; campaigns equal in all shown columns merge."""
     group = {"name": "name", "channel": "channel", "budget": "budget", "actual_spend": "spend"}
-    sales = w.sales.select("campaign_id", "customer_id", "amount")
+    sales = w.sales.select("transaction_id", "campaign_id", "customer_id", "amount")
     grouped = _by_group(w.attach(sales, "dim_campaigns", group), *group.values(), n=_n(), revenue=_revenue())
     spend = F.coalesce("spend", F.lit(0))
     revenue = F.col("revenue")
@@ -187,7 +187,7 @@ def campaign_roi(w: Warehouse) -> DataFrame:
 def channel_performance(w: Warehouse) -> DataFrame:
     """A5: totals per channel; campaign spend counts once per sale."""
     sales = w.attach(
-        w.sales.select("campaign_id", "customer_id", "amount"),
+        w.sales.select("transaction_id", "campaign_id", "customer_id", "amount"),
         "dim_campaigns",
         {"channel": "channel", "actual_spend": "spend"},
     )
@@ -228,7 +228,7 @@ def product_performance(
     task ever holds every group.
     """
     sales = w.attach(
-        w.sales.select("product_id", "customer_id", "quantity", "amount", "unit_price"),
+        w.sales.select("transaction_id", "product_id", "customer_id", "quantity", "amount", "unit_price"),
         "dim_products",
         {"category": "category", "brand": "brand", "price": "price"},
         how="inner",
@@ -382,7 +382,7 @@ def cohort_analysis(w: Warehouse, periods: int = COHORT_PERIODS) -> DataFrame:
 
 def executive_summary(w: Warehouse, as_of: dt.date) -> DataFrame:
     """A10: one row of key figures."""
-    sales = w.sales.select("customer_id", "product_id", "campaign_id", "transaction_date", "amount")
+    sales = w.sales.select("transaction_id", "customer_id", "product_id", "campaign_id", "transaction_date", "amount")
     sales = w.attach(w.attach(sales, "dim_customers", how="left_semi"), "dim_products", how="left_semi")
     # only campaigns of the dimension count; NO_CAMPAIGN is not one
     sales = w.attach(sales, "dim_campaigns", {"status": "campaign_status"})
@@ -422,7 +422,7 @@ def by_country_category_channel(w: Warehouse, since: dt.date | None = None) -> D
     lookup then sees few rows per customer, however many sales one made.
     """
     sales = w.sales if since is None else w.sales.filter(F.col("transaction_date") >= F.lit(since))
-    sales = sales.select("customer_id", "product_id", "campaign_id", "amount")
+    sales = sales.select("transaction_id", "customer_id", "product_id", "campaign_id", "amount")
     sales = w.attach(sales, "dim_products", {"category": "category"}, how="inner")
     sales = w.attach(sales, "dim_campaigns", {"channel": "channel", "actual_spend": "spend"})
     per_customer = sales.groupBy("customer_id", "category", "channel").agg(

@@ -3,20 +3,25 @@
 `attach` picks between two exact plans by the measured size of the dimension:
 
 * at most `spark.sql.autoBroadcastJoinThreshold` bytes: broadcast;
-* beyond it: keys that each hold more than `HOT_SHARE` of the rows are joined
-  to their few dimension rows by broadcast (there can be at most 1/HOT_SHARE
-  such keys, whatever the data), all other keys by a shuffle join.
+* beyond it: a shuffle join in which every hot key is spread over as many
+  salts as it has shares of `HOT_SHARE`. Only the dimension rows of hot keys are
+  repeated, once per salt, so at most 2/HOT_SHARE rows are added whatever the
+  data. The rows themselves are evaluated once.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-HOT_SHARE = 0.001
+from basketwork.session import checkpointed
+
+HOT_SHARE = 1e-5
+MIN_HOT_ROWS = 1_000_000  # a key with fewer rows fits one task anyway
+NULL_SALTS = 1_000
 
 
 def column_bytes(df: DataFrame) -> dict[str, int]:
@@ -47,42 +52,49 @@ def attach(
     key: str,
     how: str,
     dim_bytes: int,
-    hot_share: float = HOT_SHARE,
+    salt_on: str,
+    counted: DataFrame | None = None,
+    share: float = HOT_SHARE,
+    min_rows: int = MIN_HOT_ROWS,
 ) -> DataFrame:
     """Join `rows` to a dimension with unique `key`; `how` is inner, left or left_semi.
 
-    `dim_bytes` is the measured size of `dim` (see `column_bytes`).
+    `dim_bytes` is the measured size of `dim` (see `column_bytes`). `salt_on` is
+    a column of `rows` with many values, read only when keys are salted. Hot keys
+    are counted in `counted`, by default in `rows`; pass the stored table that
+    `rows` derive from to avoid computing them for the count.
     """
     if how not in ("inner", "left", "left_semi"):
         raise ValueError(f"unsupported join type: {how}")
     if dim_bytes <= broadcast_limit(rows.sparkSession):
         return rows.join(F.broadcast(dim), key, how)
-    return _attach_split(rows, dim, key, how, hot_share)
-
-
-def hot_keys(rows: DataFrame, key: str, share: float) -> DataFrame:
-    """Keys with more than `share` of all rows: fewer than 1/share of them.
-
-    The count combines on the map side, so a hot key costs one row per task.
+    hot = checkpointed(hot_keys(rows if counted is None else counted, key, share, min_rows))
+    salts = F.coalesce("__salts", F.lit(1))
+    # null keys match nothing, so they are spread without asking for their number
+    spread = F.when(F.col(key).isNull(), F.lit(NULL_SALTS)).otherwise(salts)
+    left = (
+        rows.join(F.broadcast(hot), key, "left")
+        .withColumn("__salt", F.pmod(F.xxhash64(salt_on), spread).cast("int"))
+        .drop("__salts")
+    )
+    right = (
+        dim.join(F.broadcast(hot), key, "left")
+        .withColumn("__salt", F.explode(F.sequence(F.lit(0), salts - 1)))
+        .drop("__salts")
+    )
+    return left.join(right, [key, "__salt"], how).drop("__salt")
+
+
+def hot_keys(rows: DataFrame, key: str, share: float = HOT_SHARE, min_rows: int = MIN_HOT_ROWS) -> DataFrame:
+    """Keys with more than `share` of all rows (fewer than 1/share), and their salts.
+
+    One salt stands for one share, so the salts of all keys are fewer than
+    2/share. The count combines on the map side: a hot key is one row per task.
     """
     counts = rows.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
     total = counts.select(F.sum("__n")).scalar()
-    return counts.filter(F.col("__n") > total * F.lit(share)).select(key)
-
-
-def _attach_split(rows: DataFrame, dim: DataFrame, key: str, how: str, share: float) -> DataFrame:
-    hot = hot_keys(rows, key, share)
-    hot_dim = dim.join(F.broadcast(hot), key, "left_semi")
-    keyed = rows.filter(F.col(key).isNotNull())
-    hot_part = keyed.join(F.broadcast(hot), key, "left_semi").join(F.broadcast(hot_dim), key, how)
-    cold_part = keyed.join(F.broadcast(hot), key, "left_anti").join(dim, key, how)
-    out = hot_part.unionByName(cold_part)
-    if how != "left":
-        return out
-    # a null key matches nothing: keep those rows without shuffling them
-    nulls = rows.filter(F.col(key).isNull())
-    empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in dim.schema.fields if f.name != key]
-    return out.unionByName(nulls.select("*", *empty))
+    part = F.greatest(F.lit(float(min_rows)), total * F.lit(share))
+    return counts.filter(F.col("__n") > part).select(key, F.ceil(F.col("__n") / part).cast("int").alias("__salts"))
 
 
 def matched_counts(rows: DataFrame, dim: DataFrame, key: str) -> DataFrame:
@@ -102,7 +114,5 @@ def first_per_key(df: DataFrame, key: str, order: Sequence) -> DataFrame:
     Spark keeps one row per key in each task before the shuffle
     (WindowGroupLimit), so a hot key does not pile up in one task.
     """
-    from pyspark.sql import Window
-
     rank = F.row_number().over(Window.partitionBy(key).orderBy(*order))
     return df.withColumn("__rank", rank).filter(F.col("__rank") == 1).drop("__rank")

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from basketwork import schemas
 from basketwork.functions.numbers import count_if, first_match
+from basketwork.operators.joins import attach, column_bytes
 from basketwork.operators.lineage_seeds import RELATIONSHIPS, SOURCES, TARGETS, TRANSFORMATIONS
 from basketwork.sources.tables import small_table
 
@@ -95,6 +96,11 @@ def _shown(score: Column) -> Column:
     return F.round(score.cast("decimal(18,9)"), 3).cast("double")
 
 
+def _registered(edges: DataFrame, entries: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """Edges with the columns of a registry table; one entry may hold most edges."""
+    return attach(edges, entries, key, how, sum(column_bytes(entries).values()), salt_on="relationship_id")
+
+
 def complete_lineage(lineage: Lineage) -> DataFrame:
     """Active relationships with source, target and rule; unknown sources drop out."""
     edges = lineage.active().select(
@@ -106,11 +112,11 @@ def complete_lineage(lineage: Lineage) -> DataFrame:
     rules = lineage.transformations.select(
         "transformation_id", "transformation_name", "transformation_type", "transformation_logic", "business_rule"
     )
+    flow = _registered(edges, sources, "source_id")
+    flow = _registered(flow, targets, "target_id")
+    flow = _registered(flow, rules, "transformation_id", "left")
     return (
-        edges.join(sources, "source_id")
-        .join(targets, "target_id")
-        .join(rules, "transformation_id", "left")
-        .select(
+        flow.select(
             "relationship_id", *sources.columns[1:], *targets.columns[1:], *rules.columns[1:],
             "relationship_type", "confidence_score", "pipeline_name", "dag_id", "task_id", "is_active",
         )
@@ -123,12 +129,12 @@ def field_lineage(lineage: Lineage) -> DataFrame:
     edges = lineage.active().select(
         "transformation_id", "source_id", "target_id", "pipeline_name", "confidence_score", "relationship_id"
     )
+    rules = lineage.transformations.drop("created_timestamp")
+    flow = _registered(edges, rules, "transformation_id")
+    flow = _registered(flow, lineage.sources.select("source_id", "source_name"), "source_id")
+    flow = _registered(flow, lineage.targets.select("target_id", "target_name"), "target_id")
     return (
-        lineage.transformations.drop("created_timestamp")
-        .join(edges, "transformation_id")
-        .join(lineage.sources.select("source_id", "source_name"), "source_id")
-        .join(lineage.targets.select("target_id", "target_name"), "target_id")
-        .orderBy("pipeline_name", "transformation_type", "transformation_name", "relationship_id")
+        flow.orderBy("pipeline_name", "transformation_type", "transformation_name", "relationship_id")
         .select(
             "transformation_id", "transformation_name", "source_field", "target_field", "transformation_logic",
             "business_rule", "dag_id", "task_id", "pipeline_name", "source_name", "target_name", "confidence_score",

@@ -19,7 +19,9 @@ from basketwork.operators.lineage import FAILED, RUNNING, executions
 from basketwork.operators.quality import (
     COMPLETENESS, FOREIGN_KEYS, FRESHNESS, UNIQUENESS, VOLUME, column_completeness,
 )
+from basketwork.operators.joins import attach, column_bytes
 from basketwork.operators.warehouse import Warehouse
+from basketwork.session import checkpointed
 from basketwork.sources.tables import small_table
 
 # Documented limits.
@@ -220,15 +222,22 @@ def slow_steps(log: DataFrame) -> DataFrame:
     finished = executions(log).filter(F.col("execution_status") != RUNNING).select(
         "execution_id", "dag_id", "task_id", "execution_duration_seconds"
     )
+    step = F.concat_ws("/", "dag_id", "task_id").alias("step")
     # one row per step, averaged before it meets the executions
-    baseline = finished.groupBy("dag_id", "task_id").agg(
-        mean(F.sum("execution_duration_seconds"), F.count("execution_duration_seconds")).alias("baseline_seconds")
+    usual = checkpointed(
+        finished.groupBy(step).agg(
+            mean(F.sum("execution_duration_seconds"), F.count("execution_duration_seconds")).alias("baseline_seconds")
+        )
     )
-    seconds, usual = F.col("execution_duration_seconds"), F.col("baseline_seconds")
-    alert = first_match([(seconds > VERY_SLOW_FACTOR * usual, "CRITICAL"), (seconds * 100 > (100 + SLOW_PCT) * usual, "DEGRADED")], "OK")
+    size = sum(column_bytes(usual).values())
+    timed = attach(finished.select("*", step), usual, "step", "inner", size, salt_on="execution_id")
+    seconds, baseline = F.col("execution_duration_seconds"), F.col("baseline_seconds")
+    rules = [
+        (seconds > VERY_SLOW_FACTOR * baseline, "CRITICAL"),
+        (seconds * 100 > (100 + SLOW_PCT) * baseline, "DEGRADED"),
+    ]
     return (
-        finished.join(baseline, ["dag_id", "task_id"])
-        .withColumn("alert", alert)
+        timed.withColumn("alert", first_match(rules, "OK"))
         .filter(F.col("alert") != "OK")
         .select("execution_id", "dag_id", "task_id", "execution_duration_seconds", "baseline_seconds", "alert")
     )

@@ -236,7 +236,8 @@ def fk_flags(
         (campaigns, "campaign_id", "campaign_exists"),
     ):
         keys = dim.select(key).distinct().withColumn(flag, F.lit(True))
-        best = attach(best, keys, key, "left", _size(dim.select(key), sizes))
+        size = _size(dim.select(key), sizes)
+        best = attach(best, keys, key, "left", size, salt_on="transaction_id", counted=transactions)
         best = best.withColumn(flag, _or(F.col(flag), False))
     no_campaign = _or(F.col("campaign_id") == "", True)
     return best.withColumn("campaign_exists", no_campaign | F.col("campaign_exists"))
@@ -295,5 +296,7 @@ def fact_sales(
     kept = sales.filter(F.col("status").isin(KEPT_SALE_STATUSES) & (F.col("amount") > 0))
     for dim, key in ((customers, "customer_id"), (products, "product_id")):
         keys = dim.select(key)
-        kept = attach(kept, keys, key, "left_semi", _size(keys, sizes))
+        kept = attach(
+            kept, keys, key, "left_semi", _size(keys, sizes), salt_on="transaction_id", counted=transactions
+        )
     return kept.select(*sales.columns)

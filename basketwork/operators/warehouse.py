@@ -47,7 +47,8 @@ class Warehouse:
         return sum(self._bytes[table][name] for name in columns)
 
     def attach(self, rows: DataFrame, table: str, columns: dict[str, str] | None = None, how: str = "left") -> DataFrame:
-        """Add dimension columns (`{column: new name}`) to rows holding its key."""
+        """Add dimension columns (`{column: new name}`) to sales holding `transaction_id` and the key."""
         key, columns = KEYS[table], columns or {}
         dim = self.tables[table].select(key, *[self.tables[table][c].alias(n) for c, n in columns.items()])
-        return attach(rows, dim, key, how, self.size(table, [key, *columns]))
+        size = self.size(table, [key, *columns])
+        return attach(rows, dim, key, how, size, salt_on="transaction_id", counted=self.sales)

@@ -15,8 +15,12 @@ OLDER, NEWER = dt.datetime(2001, 11, 4, 6), dt.datetime(2001, 11, 5, 6)
 
 
 def pages_of(products: DataFrame, page_size: int = documents.PAGE_SIZE) -> DataFrame:
-    """Products as API pages; a page holds the products of `page_size` consecutive ids."""
-    numbered = products.withColumn("page", F.floor(F.col("product_id").cast("bigint") / page_size) + 1)
+    """Products as API pages of at most `page_size` rows, numbered upwards with gaps.
+
+    Rows are numbered within their partition, so no page grows with the copies
+    of one product.
+    """
+    numbered = products.withColumn("page", F.floor(F.monotonically_increasing_id() / page_size) + 1)
     last = numbered.select(F.max("page")).scalar()
     fields = schemas.PRODUCTS.fields
     item = F.struct(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in fields])

@@ -26,27 +26,39 @@ def dim(spark):
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi"])
 def test_both_plans_give_the_plain_join(skewed, dim, how):
     expected = sorted(map(str, skewed.join(dim, "key", how).collect()))
-    small = sorted(map(str, attach(skewed, dim, "key", how, dim_bytes=1).collect()))
-    split = attach(skewed, dim, "key", how, dim_bytes=2**40, hot_share=0.05)
+    small = sorted(map(str, attach(skewed, dim, "key", how, dim_bytes=1, salt_on="id").collect()))
+    salted = attach(skewed, dim, "key", how, dim_bytes=2**40, salt_on="id", share=0.02, min_rows=1)
+    unsalted = attach(skewed, dim, "key", how, dim_bytes=2**40, salt_on="id")
     assert small == expected
-    assert sorted(map(str, split.collect())) == expected
+    assert sorted(map(str, salted.collect())) == expected
+    assert sorted(map(str, unsalted.collect())) == expected
 
 
-def test_hot_keys_are_few_and_exact(skewed):
-    assert {r["key"] for r in hot_keys(skewed, "key", 0.2).collect()} == {"hot", ""}
-    assert hot_keys(skewed, "key", 0.001).count() < 1000
+def test_hot_keys_get_a_salt_per_share(skewed):
+    out = {r["key"]: r["__salts"] for r in hot_keys(skewed, "key", 0.1, min_rows=1).collect()}
+    # nulls are not counted: a third of 3000 rows are 1000 of about 2900
+    assert set(out) == {"hot", ""} and set(out.values()) == {4}
+    assert hot_keys(skewed, "key").count() == 0  # no key has a million rows
+    many = hot_keys(skewed, "key", 0.001, min_rows=1).agg(F.count("key"), F.sum("__salts")).first()
+    assert many[0] < 1000 and many[1] < 2000
 
 
-def test_large_dimensions_are_not_broadcast_whole(spark, skewed, dim):
+def test_large_dimensions_are_not_broadcast(spark, skewed, dim):
     limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         assert broadcast_limit(spark) == -1
-        plan = attach(skewed, dim, "key", "left", dim_bytes=1)._jdf.queryExecution().toString()
-        assert "SortMergeJoin" in plan and "CartesianProduct" not in plan
-        assert plan.count("ResolvedHint (strategy=broadcast)") >= 3  # only hot keys and their rows
+        joined = attach(skewed, dim, "key", "left", dim_bytes=1, salt_on="id", share=0.02, min_rows=1)
+        plan = joined._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("strategy=broadcast") + plan.count("rightHint=(strategy=broadcast)") >= 2
+        physical = joined._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in physical and "CartesianProduct" not in physical
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        sizes = joined.filter("key = 'hot'").select("key").rdd.glom().map(len).collect()
+        assert sum(sizes) == 1000 and max(sizes) < 1000  # the hot key is spread over tasks
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
 
 
 def test_column_bytes_measures_text(spark):
@@ -62,6 +74,11 @@ def test_matched_counts(spark):
     assert out == {("a", 2, 1), ("b", 1, None), (None, 1, None), ("c", None, 1)}
 
 
+def test_unknown_join_types_are_refused(skewed, dim):
+    with pytest.raises(ValueError):
+        attach(skewed, dim, "key", "full_outer", 1, salt_on="id")
+
+
 def test_first_per_key_limits_before_the_shuffle(skewed):
     out = first_per_key(skewed, "key", [F.desc("id")])
     plan = out._jdf.queryExecution().toString()
