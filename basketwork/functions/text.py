@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 # What counts as surrounding space, the characters that start a
 # new word in title case, and the address and phone patterns.
-WHITESPACE = " \t\n\x0b\f\r\u0085                 　"
+WHITESPACE = " \t\n\x0b\f\r\u0085\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 WORD_DELIMITERS = "[](){}/|\\<>!?@\"^#$&~_,.:;*%+-"
 EMAIL_PATTERN = r"^[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}\z"
 PHONE_NOISE = r"[^0-9+\-() \t\n\f\r]"

@@ -51,11 +51,14 @@ def write_fact(df: DataFrame, path: str, by_day: bool = True, large_days: bool =
     Rebalancing gathers a day's rows in few files and lets AQE split a day that
     is far larger than the others, such as the placeholder for missing dates.
     With `large_days=False` all cores share the many small day files instead.
-    With `by_day=False` days share files sorted by date, for tables whose days
-    would be tiny files. With dynamic partition overwrite (`session.SETTINGS`),
-    writing some days again replaces just those days.
+    With `by_day=False` the rows stay in the tasks they are in, sorted by date,
+    for tables whose days would be tiny files: one file per task, no shuffle.
+    With dynamic partition overwrite (`session.SETTINGS`), writing some days again
+    replaces just those days.
     """
-    if by_day and not large_days:
+    if not by_day:
+        spread = df
+    elif not large_days:
         spread = df.repartition(df.sparkSession.sparkContext.defaultParallelism, PARTITION)
     else:
         spread = df.hint("rebalance", PARTITION)

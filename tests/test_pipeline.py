@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from types import SimpleNamespace
 
 import pytest
 from conftest import DATA
@@ -123,3 +124,26 @@ def test_quarantine_splits_all_rows(spark, finished, tmp_path):
 
 def test_shared_folder_comes_from_the_session(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+class FakeContext:
+    def __init__(self, master, folder=None):
+        self.master, self.folder = master, folder
+
+    def getCheckpointDir(self):
+        return self.folder
+
+    def setCheckpointDir(self, folder):
+        self.folder = folder
+
+
+def session_with(master, **conf):
+    return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: conf.get("folder", default)), sparkContext=FakeContext(master))
+
+
+def test_a_cluster_needs_a_shared_folder():
+    assert shared_dir(session_with("yarn", folder="hdfs:///shared/")) == "hdfs:///shared"
+    with pytest.raises(RuntimeError):
+        shared_dir(session_with("yarn"))
+    local = session_with("local[2]")
+    assert shared_dir(local) == shared_dir(local) == local.sparkContext.folder
