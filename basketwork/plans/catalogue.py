@@ -237,13 +237,11 @@ def _staging_modes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _partitioned_write(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Write the fact by day, then read half a year of it."""
+    """Write the fact by day and read it back, per day."""
     path = f"{_fresh_folder(spark)}/fact"
     sales = sample_warehouse(spark, sf_dir).sales
     tables.write_fact(sales, path, by_day=True, large_days=warehouses.days_are_large(sales))
-    day = F.col("transaction_date")
-    year = tables.stored(spark, path).filter((day >= F.lit(dt.date(2001, 1, 1))) & (day < F.lit(dt.date(2001, 7, 1))))
-    return year.groupBy("transaction_date").agg(
+    return tables.stored(spark, path).groupBy("transaction_date").agg(
         F.count(F.lit(1)).alias("transactions"), F.sum("amount").cast("double").alias("revenue")
     )
 
