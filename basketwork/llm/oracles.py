@@ -41,4 +41,60 @@ SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_s
 FROM failed
 """
 
-ORACLES = {"op9_quality_rules": QUALITY}
+SHARDING = """
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce(octet_length(encode(text)), 0) AS n_bytes,
+    ('0x' || substr(md5(coalesce(doc_id::VARCHAR, text, '')), 1, 15))::BIGINT AS bits
+  FROM documents
+), lines AS (
+  SELECT *, bits >> (60 - depth) AS prefix FROM (SELECT *, unnest(range(0, 41)) AS depth FROM d)
+), fits AS (
+  SELECT rid, depth FROM lines JOIN (
+    SELECT depth, prefix FROM lines GROUP BY ALL HAVING sum(n_bytes) <= 67108864 OR count(*) = 1
+  ) USING (depth, prefix)
+)
+SELECT doc_id, n_bytes::BIGINT AS n_bytes, 's' || substr(lpad(bin(bits), 60, '0'), 1, min(depth)::INT) AS shard_id,
+  min(depth)::INT AS shard_depth
+FROM d JOIN fits USING (rid) GROUP BY rid, doc_id, n_bytes, bits
+"""
+
+
+def _mixing(rounds: int = 10, keep: float = 0.5) -> str:
+    """Proportional fitting with one common table expression for each step."""
+    dimensions = ("source", "lang", "topic")
+    steps, last = [], "start"
+    for i in range(rounds):
+        for d in dimensions:
+            name = f"w{i}_{d}"
+            steps.append(
+                f"{name} AS MATERIALIZED (SELECT c.* EXCLUDE (w), w * share / sum(w) OVER (PARTITION BY c._{d}) AS w"
+                f" FROM {last} c JOIN target_{d} t ON c._{d} = t.v)"
+            )
+            last = name
+    targets = ", ".join(
+        f"target_{d} AS MATERIALIZED (SELECT v, pow(t, 0.5) / sum(pow(t, 0.5)) OVER () AS share"
+        f" FROM (SELECT _{d} AS v, sum(tokens)::DOUBLE AS t FROM cells GROUP BY 1))"
+        for d in dimensions
+    )
+    return f"""
+WITH rows_ AS MATERIALIZED (
+  SELECT doc_id, source, lang, coalesce('=' || source, '-') AS _source, coalesce('=' || lang, '-') AS _lang,
+    '=' || CASE WHEN regexp_matches(coalesce(text, ''), '[Ll]icense') THEN 'licensed'
+      WHEN regexp_matches(coalesce(text, ''), '\\|.*\\|') THEN 'tables'
+      WHEN regexp_matches(coalesce(text, ''), '@[a-z0-9-]+[.]') THEN 'contacts'
+      WHEN regexp_matches(coalesce(text, ''), '[0-9]{{4}}') THEN 'figures' ELSE 'prose' END AS _topic,
+    len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS tokens,
+    ('0x' || substr(md5('mix:' || coalesce(doc_id::VARCHAR, text, '')), 1, 15))::BIGINT / pow(2, 60) AS draw
+  FROM documents
+), cells AS MATERIALIZED (SELECT _source, _lang, _topic, sum(tokens) AS tokens FROM rows_ GROUP BY ALL HAVING sum(tokens) > 0),
+{targets}, start AS (SELECT *, tokens::DOUBLE AS w FROM cells), {", ".join(steps)},
+rates AS (
+  SELECT _source, _lang, _topic, round(least(1.0, {keep} * (sum(tokens) OVER ())::DOUBLE * w / (sum(w) OVER ()) / tokens), 6) AS rate FROM {last}
+)
+SELECT doc_id, source, lang, substr(_topic, 2) AS topic, tokens::BIGINT AS n_tokens,
+  CASE WHEN tokens > 0 THEN rate ELSE 0 END AS probability, draw < CASE WHEN tokens > 0 THEN rate ELSE 0 END AS selected
+FROM rows_ LEFT JOIN rates USING (_source, _lang, _topic)
+"""
+
+
+ORACLES = {"op5_sharding": SHARDING, "op6_mixing": _mixing(), "op9_quality_rules": QUALITY}

@@ -5,15 +5,34 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from basketwork.llm import quality_rules, simhash, token_counts
+from basketwork.llm import decontamination, licences, mixing, pseudonyms, quality_rules, sharding, simhash, token_counts
 from basketwork.llm.common import scratch, table
 
 
+def op1_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.licence_scan(table(spark, sf_dir, "documents"))
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = sharding.sharded(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return rows.select("doc_id", "n_bytes", "shard_id", "shard_depth")
+
+
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = mixing.mixture(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "source", "lang", "topic", "n_tokens", "probability", "selected")
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """With a new, empty cache, so that every distinct content is encoded here."""
     return token_counts.token_counts(table(spark, sf_dir, "documents"), scratch(spark, "token-cache"))
@@ -23,8 +42,18 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_report(table(spark, sf_dir, "documents"))
 
 
+def op10_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = pseudonyms.pseudonymised(table(spark, sf_dir, "documents").select("doc_id", "text"), "key of the registered query")
+    return rows.select("doc_id", "text", F.array_join("pii_kinds", ",").alias("pii_kinds"), F.size("pii_kinds").cast("long").alias("n_pii"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_licences": op1_licences,
     "op2_simhash": op2_simhash,
+    "op4_decontamination": op4_decontamination,
+    "op5_sharding": op5_sharding,
+    "op6_mixing": op6_mixing,
     "op8_token_counts": op8_token_counts,
     "op9_quality_rules": op9_quality_rules,
+    "op10_pseudonyms": op10_pseudonyms,
 }

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import hashlib
+import os
 from collections.abc import Iterator
+from functools import lru_cache
 from pathlib import Path
 
 import pyarrow as pa
@@ -13,7 +15,7 @@ from pyspark.sql import functions as F
 
 TOKENIZER = "word_bpe_49k.json"
 CACHE = "tokenizer string, digest binary, n_tokens long"
-MEMO_WORDS = 300_000
+MEMO_WORDS = 100_000
 
 
 def tokenizer_file(name: str) -> str:
@@ -39,10 +41,11 @@ class TokenCounter:
     """Counts tokens of a text as the library does, without added special tokens.
 
     Tokens never span white space here, so a text has the tokens of its words; words seen before
-    are remembered, up to `MEMO_WORDS` of them at a time.
+    are remembered; beyond `MEMO_WORDS` of them the memory starts anew.
     """
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task for each core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -52,23 +55,28 @@ class TokenCounter:
 
     def counts(self, texts: list[bytes]) -> list[int]:
         split = [t.split() for t in texts]
+        if len(self.memo) > MEMO_WORDS:
+            self.memo.clear()
         new = list({w for words in split for w in words if w not in self.memo})
-        own = dict(self.memo) if len(self.memo) + len(new) > MEMO_WORDS else self.memo
-        for i in range(0, len(new), 20_000):
-            part = new[i : i + 20_000]
+        for i in range(0, len(new), 5000):
+            part = new[i : i + 5000]
             encoded = self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
-            own.update(zip(part, map(len, encoded)))
-        if own is not self.memo:
-            self.memo = {}
-        return [sum(map(own.__getitem__, words)) for words in split]
+            self.memo.update(zip(part, map(len, encoded)))
+        return [sum(map(self.memo.__getitem__, words)) for words in split]
 
 
-def _encoder(path: str):
+@lru_cache(maxsize=1)
+def _counter(path: str, version: str) -> TokenCounter:
+    """One for each Python worker, which runs many tasks."""
+    return TokenCounter(path)
+
+
+def _encoder(path: str, version: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = TokenCounter(path)
+        counter = _counter(path, version)
         for batch in batches:
-            for start in range(0, len(batch), 500):
-                part = batch.slice(start, 500)
+            for start in range(0, len(batch), 200):
+                part = batch.slice(start, 200)
                 counts = counter.counts([t.as_buffer().to_pybytes() for t in part["content"]])
                 yield pa.record_batch([part["digest"], pa.array(counts, pa.int64())], ["digest", "n_tokens"])
 
@@ -106,7 +114,7 @@ def token_counts(docs: DataFrame, cache: str, tokenizer: str | None = None, limi
         .dropDuplicates(["digest"])
         .join(_read_cache(docs, cache, version), "digest", "left_anti")
     )
-    encoded = misses.mapInArrow(_encoder(path), "digest binary, n_tokens long")
+    encoded = misses.mapInArrow(_encoder(path, version), "digest binary, n_tokens long")
     encoded.withColumn("tokenizer", F.lit(version)).write.mode("append").partitionBy("tokenizer").parquet(cache)
     rows = docs.select("doc_id", F.octet_length(F.coalesce(F.col("text").cast("string"), F.lit(""))).cast("long").alias("n_bytes"), digest)
     return rows.join(_read_cache(docs, cache, version), "digest").select(
