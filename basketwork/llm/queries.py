@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketwork.llm import decontamination, licences, mixing, pseudonyms, quality_rules, sharding, simhash, token_counts
+from basketwork.llm import decontamination, licences, mixing, pseudonyms, quality_rules, sharding, simhash, token_counts, toxicity
 from basketwork.llm.common import scratch, table
 
 
@@ -19,6 +19,10 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -50,6 +54,7 @@ def op10_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_licences": op1_licences,
     "op2_simhash": op2_simhash,
+    "op3_toxicity": op3_toxicity,
     "op4_decontamination": op4_decontamination,
     "op5_sharding": op5_sharding,
     "op6_mixing": op6_mixing,
