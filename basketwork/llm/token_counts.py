@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 TOKENIZER = "word_bpe_49k.json"
 CACHE = "tokenizer string, digest binary, n_tokens long"
-MEMO_WORDS = 100_000
+MEMO_WORDS = 400_000
 
 
 def tokenizer_file(name: str) -> str:
@@ -75,8 +75,8 @@ def _encoder(path: str, version: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = _counter(path, version)
         for batch in batches:
-            for start in range(0, len(batch), 200):
-                part = batch.slice(start, 200)
+            for start in range(0, len(batch), 500):
+                part = batch.slice(start, 500)
                 counts = counter.counts([t.as_buffer().to_pybytes() for t in part["content"]])
                 yield pa.record_batch([part["digest"], pa.array(counts, pa.int64())], ["digest", "n_tokens"])
 
