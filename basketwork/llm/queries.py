@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketwork.llm import decontamination, licences, mixing, pseudonyms, quality_rules, sharding, simhash, token_counts, toxicity
+from basketwork.llm import decontamination, html_text, licences, mixing, pseudonyms, quality_rules, sharding, simhash, token_counts, toxicity
 from basketwork.llm.common import scratch, table
 
 
@@ -37,6 +37,10 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "source", "lang", "topic", "n_tokens", "probability", "selected")
 
 
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extracted(table(spark, sf_dir, "pages"))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """With a new, empty cache, so that every distinct content is encoded here."""
     return token_counts.token_counts(table(spark, sf_dir, "documents"), scratch(spark, "token-cache"))
@@ -58,6 +62,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_decontamination": op4_decontamination,
     "op5_sharding": op5_sharding,
     "op6_mixing": op6_mixing,
+    "op7_html_text": op7_html_text,
     "op8_token_counts": op8_token_counts,
     "op9_quality_rules": op9_quality_rules,
     "op10_pseudonyms": op10_pseudonyms,
