@@ -95,26 +95,42 @@ def line_fails(line: Column, symbols: Column | None = None, stutters: Column | N
     return (short & line.rlike(BOILERPLATE)) | marked | stuttering
 
 
+def figures(text: Column) -> Column:
+    """struct of the base figures, base_failed, kept, and what `line_fails` needs of the document."""
+
+    def counted(b: Column) -> Column:
+        return F.struct(
+            b["lines"].alias("lines"), b["n_symbols"].alias("n_symbols"),
+            F.size(b["words"]).cast("long").alias("n_words"),
+            F.length(F.array_join(b["words"], "")).cast("long").alias("word_chars"),
+            (F.size(b["lines"]) - F.size(F.array_distinct(b["lines"]))).cast("long").alias("n_dup_lines"),
+            repeated_words(b["words"]).alias("n_repeat_words"), _stutters(b["words"]).alias("stutters"),
+        )
+
+    def judged(c: Column) -> Column:
+        failed = (c["n_words"] < MIN_WORDS) | (c["n_repeat_words"] * 100 > c["n_words"] * MAX_REPEATED_PERCENT)
+        failing = F.filter(c["lines"], lambda line: line_fails(line, c["n_symbols"], c["stutters"]))
+        lost = F.aggregate(failing, F.lit(0).cast("long"), lambda a, line: a + _word_chars(line))
+        names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "stutters")
+        return F.struct(
+            *(c[n].alias(n) for n in names), failed.alias("base_failed"),
+            (~failed & (lost * 100 <= c["word_chars"] * MAX_LOST_PERCENT)).alias("kept"),
+        )
+
+    base = F.struct(
+        words(text).alias("words"), F.filter(F.split(text, "\n"), has_words).alias("lines"),
+        F.regexp_count(text, F.lit(SYMBOLS)).cast("long").alias("n_symbols"),
+    )
+    return let(base, lambda b: let(counted(b), judged))
+
+
 def measured(docs: DataFrame) -> DataFrame:
-    """`docs` with the base figures and the verdict, per row, without a shuffle."""
+    """`docs` with _q, their `figures`, per row and without a shuffle.
+
+    The struct comes from a generator of one row, so that filters on it do not compute it again.
+    """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    base = docs.withColumns({
-        "_words": words(text), "_lines": F.filter(F.split(text, "\n"), has_words),
-        "_n_symbols": F.regexp_count(text, F.lit(SYMBOLS)).cast("long"),
-    })
-    counted = base.withColumns({
-        "_n_words": F.size("_words").cast("long"),
-        "_word_chars": F.length(F.array_join("_words", "")).cast("long"),
-        "_n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
-        "_n_repeat_words": repeated_words(F.col("_words")),
-        "_stutters": _stutters(F.col("_words")),
-    })
-    failing = F.filter("_lines", lambda line: line_fails(line, F.col("_n_symbols"), F.col("_stutters")))
-    lost = F.aggregate(failing, F.lit(0).cast("long"), lambda a, line: a + _word_chars(line))
-    failed = (F.col("_n_words") < MIN_WORDS) | (F.col("_n_repeat_words") * 100 > F.col("_n_words") * MAX_REPEATED_PERCENT)
-    return counted.withColumn("_base_failed", failed).withColumn(
-        "_kept", ~F.col("_base_failed") & (lost * 100 <= F.col("_word_chars") * MAX_LOST_PERCENT)
-    )
+    return docs.select("*", F.explode(F.array(figures(text))).alias("_q"))
 
 
 FIGURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -129,7 +145,7 @@ def quality_report(docs: DataFrame) -> DataFrame:
     row, repeated and null ids included; an empty table gives none; columns other than doc_id
     and text are ignored, whatever their names.
     """
-    return measured(docs.select("doc_id", "text")).select("doc_id", *(F.col(f"_{c}").alias(c) for c in FIGURES))
+    return measured(docs.select("doc_id", "text")).select("doc_id", *(F.col("_q")[c].alias(c) for c in FIGURES))
 
 
 def cleaned(docs: DataFrame) -> DataFrame:
@@ -138,10 +154,10 @@ def cleaned(docs: DataFrame) -> DataFrame:
     Lines without words stay. A null n_chars or other column is left as it is; n_chars, if
     present, is the length of the new text.
     """
-    rows = measured(docs.select(F.struct("*").alias("_row"), "doc_id", "text")).filter("_kept")
+    rows = measured(docs.select(F.struct("*").alias("_row"), "doc_id", "text")).filter("_q.kept")
     kept = F.filter(
         F.split(F.col("text").cast("string"), "\n"),
-        lambda line: ~has_words(line) | ~line_fails(line, F.col("_n_symbols"), F.col("_stutters")),
+        lambda line: ~has_words(line) | ~line_fails(line, F.col("_q.n_symbols"), F.col("_q.stutters")),
     )
     out = rows.withColumn("_text", F.array_join(kept, "\n"))
     columns = {c: F.col("_row")[c] for c in docs.columns} | {"text": F.col("_text")}
