@@ -18,9 +18,9 @@ FORMS = {
     "date": r"(?<![0-9.-])(?:(?:19|20)[0-9]{2}-[01][0-9]-[0-3][0-9]|[0-3]?[0-9]([./])[0-3]?[0-9]\1(?:19|20)[0-9]{2})(?![0-9]|[.-][0-9])",
     "ip": r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?!\.?[0-9])",
     "national_id": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9]|-[0-9])",
-    "phone": r"\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,4}(?![0-9])"
+    "phone": r"\+[0-9]{1,3}[ .-]?\([0-9]{1,4}\)[ .-]?[0-9]{2,4}[ .-]?[0-9]{2,4}(?![0-9])|\+[0-9]{1,3}(?:[ .-]?[0-9]{2,4}){2,4}(?![0-9])"
     r"|(?<![0-9+-])(?:\([2-9][0-9]{2}\) ?|[2-9][0-9]{2}[.-])[0-9]{3}[ .-][0-9]{4}(?![0-9])",
-    "card": r"(?<![0-9-])[0-9](?:[ -]?[0-9]){12,18}(?![0-9]|-[0-9])",
+    "card": r"(?<![0-9-])(?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})(?![0-9]|-[0-9])",
 }
 PATTERN = "|".join(f"(?:{form})" for form in FORMS.values())
 # A text without any of these holds none of the forms.
