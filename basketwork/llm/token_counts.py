@@ -29,6 +29,17 @@ def tokenizer_version(path: str) -> str:
     return hashlib.sha256(Path(path).read_bytes()).hexdigest()
 
 
+def drops_white_space(path: str) -> None:
+    """Refuse tokenizers to which white space matters: words and normal form would then not be enough."""
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(path)
+    one, two = (tokenizer.encode(text, add_special_tokens=False).ids for text in ("a b", " a \n b "))
+    apart = [i for word in ("a", "b") for i in tokenizer.encode(word, add_special_tokens=False).ids]
+    if not one == two == apart:
+        raise ValueError("the tokenizer keeps white space")
+
+
 def normalised(text: Column) -> Column:
     """Content whose digest is looked up: runs of ASCII white space are one blank, ends are trimmed.
 
@@ -103,9 +114,10 @@ def token_counts(docs: DataFrame, cache: str, tokenizer: str | None = None, limi
     entry is encoded once, whole, and appended. Null text is an empty text with 0 tokens. Rows
     are kept as they are, repeated and null ids included; other columns are ignored; an empty
     table gives an empty result and leaves the cache as it is. `tokenizer` is a file that every
-    executor can read, the 49k word BPE by default.
+    executor can read, the 49k word BPE by default; one to which white space matters is refused.
     """
     path = tokenizer or tokenizer_file(TOKENIZER)
+    drops_white_space(path)
     version = tokenizer_version(path)
     content = normalised(F.col("text"))
     digest = F.unhex(F.sha2(content, 256)).alias("digest")
