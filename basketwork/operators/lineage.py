@@ -370,7 +370,7 @@ class Tracker:
     ) -> str:
         """One relationship seen at run time."""
         now = self.clock()
-        relationship_id = f"RT_{step.dag_id}_{step.task_id}_{now:%Y%m%d_%H%M%S}"
+        relationship_id = f"RT_{step.dag_id}_{step.task_id}_{target_id}_{now:%Y%m%d_%H%M%S}"
         row = {
             "relationship_id": relationship_id, "source_id": source_id, "target_id": target_id,
             "transformation_id": transformation_id, "relationship_type": relationship_type,

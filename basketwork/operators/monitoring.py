@@ -255,11 +255,10 @@ def with_reasons(sales: DataFrame) -> DataFrame:
     return sales.withColumn("reasons", F.concat_ws(",", *[F.when(rule, F.lit(name)) for name, rule in rules.items()]))
 
 
-def quarantine(sales: DataFrame, good_path: str, bad_path: str) -> None:
-    """Write sales that keep all rules and sales that break one to two folders."""
-    marked = with_reasons(sales)
-    marked.filter(F.col("reasons") == "").drop("reasons").write.mode("overwrite").parquet(good_path)
-    marked.filter(F.col("reasons") != "").write.mode("overwrite").parquet(bad_path)
+def quarantine(sales: DataFrame, path: str) -> None:
+    """Write sales once, those that keep all rules under `verdict=good`, others under `verdict=bad`."""
+    marked = with_reasons(sales).withColumn("verdict", F.when(F.col("reasons") == "", "good").otherwise("bad"))
+    marked.write.mode("overwrite").partitionBy("verdict").parquet(path)
 
 
 def daily_sales(w: Warehouse) -> DataFrame:

@@ -11,6 +11,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from basketwork import schemas
 from basketwork.operators import lineage, quality, validation
@@ -60,21 +61,28 @@ class Run:
     log_errors: list[str] = field(default_factory=list)
 
 
-def read_raw(spark: SparkSession, raw: dict[str, str], feed: str, cap: int | None = None) -> DataFrame:
-    """A feed as delivered: newest customer drop, product pages or documents."""
+def _form(feed: str) -> tuple[T.StructType, str | None]:
+    """Schema of a feed's JSON lines, and the list in them that holds the records."""
+    return (schemas.PRODUCT_PAGE, "data") if feed == "products" else (schemas.FEEDS[feed], None)
+
+
+def read_raw(spark: SparkSession, raw: dict[str, str], feed: str, cap: int | None = None, seen: Observation | None = None) -> DataFrame:
+    """A feed as delivered: newest customer drop, product pages or documents; `seen` gets the key counts."""
     if feed == "customers":
         return lake.read_latest_customers(spark, f"{raw['root']}/raw")
+    schema, inside = _form(feed)
+    docs = documents.delivered(spark, raw[feed], schema, schemas.REQUIRED[feed], seen or Observation(), inside)
     if feed == "products":
-        return documents.products_from_pages(documents.read_pages(spark, raw[feed]))
-    docs = documents.read_documents(spark, raw[feed], feed)
+        return documents.products_from_pages(docs)
     if feed == "marketing_campaigns":
-        return documents.campaign_documents(docs)
+        return documents.with_status(docs)
     return documents.fill_campaign(documents.sale_documents(docs, cap))
 
 
 def ingest(spark: SparkSession, layout: Layout, raw: dict[str, str], feed: str, at: dt.datetime, cap: int | None) -> int:
     """Contract, metadata, copy to the lake, staging table; returns the record count."""
-    rows = read_raw(spark, raw, feed, cap)
+    keys = Observation()
+    rows = read_raw(spark, raw, feed, cap, keys)
     contracts.require_columns(rows, schemas.REQUIRED[feed], feed, ON_VIOLATION[feed])
     rows = lake.with_metadata(rows, feed, raw.get(feed, feed), F.lit(at))
     schema = schemas.STAGING[feed]
@@ -86,16 +94,23 @@ def ingest(spark: SparkSession, layout: Layout, raw: dict[str, str], feed: str,
     )
     seen = Observation()
     counted = typed.observe(seen, F.count(F.lit(1)).alias("n"))
-    # the raw feed is evaluated once, for the lake; staging loads that drop
+    # the raw feed is evaluated once, for the lake; staging loads that typed drop
+    loaded = spark.read.schema(schema).json(lake.write_json(counted, layout.lake, "processed", feed, at))
+    records, rejected = int(seen.get["n"]), 0
     if feed == "customers":
-        loaded = lake.read_csv(spark, lake.write_csv(counted, layout.lake, "processed", feed, at), schema)
+        lake.write_csv(loaded, layout.lake, "processed", feed, at)
+        if not records:
+            contracts.violated(f"{feed}: no records", ON_VIOLATION[feed])
     else:
-        loaded = spark.read.schema(schema).json(lake.write_json(counted, layout.lake, "processed", feed, at))
+        contracts.require_keys(keys.get, schemas.REQUIRED[feed], feed, ON_VIOLATION[feed])
+        rejected = int(keys.get["rejected"])
+    if rejected:
+        documents.rejects(spark, raw[feed], _form(feed)[0]).write.mode("append").text(f"{layout.lake}/rejected/{feed}")
     path = f"{layout.staging}/{feed}"
     create_if_absent(spark, path, schema)
     write_staging(loaded, path, STAGING_MODES[feed])
-    records = int(seen.get["n"])
-    lake.log_ingestion(spark, layout.events, feed, "processed", "SUCCESS", records, at=at)
+    error = f"{rejected} records rejected" if rejected else None
+    lake.log_ingestion(spark, layout.events, feed, "processed", "SUCCESS", records, error, at=at)
     return records
 
 

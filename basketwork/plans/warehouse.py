@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,24 +14,19 @@ from basketwork.session import shared_dir
 from basketwork.sources import sample_feeds
 from basketwork.sources.tables import stored, write_dimension, write_fact
 
-# A day gets its own folder once the average day is at least this large.
-MIN_DAY_BYTES = 16 * 2**20
-FACT_ROW_BYTES = 160  # written width of a fact row, an upper estimate
-
 
 def build(
     feeds: dict[str, DataFrame],
     path: str,
     as_of: dt.date | None = None,
     loaded_at: Column | None = None,
-    by_day: bool | None = None,
     empty_campaign_as_null: bool = False,
 ) -> Warehouse:
     """Write the four tables under `path` and return them as stored.
 
-    The dimensions are written first; the fact is filtered against the written
-    tables, so no plan holds a dimension's cleaning twice. `by_day=None` decides
-    the folder layout from the measured size of the feed.
+    The dimensions are written first, side by side; the fact is filtered against the
+    written tables, so no plan holds a dimension's cleaning twice. Every table is replaced as a
+    whole: days of the fact that no longer have sales go.
     """
     spark = feeds["customers"].sparkSession
     dims = {
@@ -38,27 +34,16 @@ def build(
         "dim_products": star.dim_products(feeds["products"], loaded_at),
         "dim_campaigns": star.dim_campaigns(feeds["marketing_campaigns"], as_of, loaded_at),
     }
-    for name, df in dims.items():
-        write_dimension(df, name, f"{path}/{name}")
+    with ThreadPoolExecutor(len(dims)) as jobs:
+        list(jobs.map(lambda item: write_dimension(item[1], item[0], f"{path}/{item[0]}"), dims.items()))
     customers, products, campaigns = (stored(spark, f"{path}/{name}") for name in dims)
     fact = star.fact_sales(
         feeds["sales_transactions"], customers, products, loaded_at, empty_campaign_as_null
     )
-    if by_day is None:
-        by_day = days_are_large(feeds["sales_transactions"])
-    write_fact(fact, f"{path}/fact_sales_transactions", by_day)
+    write_fact(fact, f"{path}/fact_sales_transactions")
     return Warehouse(customers, products, campaigns, stored(spark, f"{path}/fact_sales_transactions"))
 
 
-def days_are_large(transactions: DataFrame) -> bool:
-    """Whether an average day of sales fills a file of useful size."""
-    size = transactions.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.greatest(F.datediff(F.max("transaction_date"), F.min("transaction_date")), F.lit(1)).alias("days"),
-    ).first()
-    return size["n"] * FACT_ROW_BYTES / (size["days"] or 1) >= MIN_DAY_BYTES
-
-
 def load(spark: SparkSession, path: str) -> Warehouse:
     """A warehouse written by `build`."""
     return Warehouse(

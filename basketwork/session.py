@@ -2,19 +2,18 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job here relies on. AQE coalesces small shuffle partitions,
-# splits skewed join partitions and splits hot days on write (rebalance).
+# splits skewed join partitions and splits hot days on write (rebalance). Small
+# tables are written by all cores: their cost is files, not bytes.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 
@@ -31,20 +30,11 @@ def build_session(app: str = "basketwork", master: str | None = None, **settings
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share, from `spark.checkpoint.dir`.
-
-    Only a local session may fall back to a fresh temporary folder: on a
-    cluster that folder would exist on one machine alone.
-    """
+    """The folder all executors share: `spark.checkpoint.dir`, else one below the warehouse's."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="basketwork-"))
-    return context.getCheckpointDir()
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/shared"
 
 
 def checkpointed(df: DataFrame) -> DataFrame:

@@ -67,10 +67,22 @@ def require_columns(df: DataFrame, required: Sequence[str], feed: str, on_violat
     """S7 from the column names alone, without reading any row."""
     missing = [name for name in required if name not in df.columns]
     if missing:
-        _violated(f"{feed}: missing columns: {', '.join(missing)}", on_violation)
+        violated(f"{feed}: missing columns: {', '.join(missing)}", on_violation)
 
 
-def _violated(message: str, on_violation: str) -> None:
+def require_keys(seen: dict, required: Sequence[str], feed: str, on_violation: str) -> None:
+    """S6, S7 from counts of the delivered records (`documents.delivered`): no record may lack a required key.
+
+    A feed without any record is not valid either.
+    """
+    if not seen["n"]:
+        violated(f"{feed}: no records", on_violation)
+    missing = [f"{key} ({seen[f'missing_{i}']} of {seen['n']})" for i, key in enumerate(required) if seen[f"missing_{i}"]]
+    if missing:
+        violated(f"{feed}: records lack {', '.join(missing)}", on_violation)
+
+
+def violated(message: str, on_violation: str) -> None:
     if on_violation == "raise":
         raise ContractError(message)
     logger.warning(message)
@@ -80,5 +92,5 @@ def enforce(report: DataFrame, feed: str, on_violation: str) -> int:
     """Raise or warn when the one-row report is not valid; returns the record count."""
     row = report.first()
     if not row["valid"]:
-        _violated(f"{feed}: contract not met: {row.asDict()}", on_violation)
+        violated(f"{feed}: contract not met: {row.asDict()}", on_violation)
     return row["record_count"]

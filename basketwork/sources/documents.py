@@ -2,19 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from basketwork import schemas
 
-# Page status, statuses read from the document export, and the
-# number of newest documents per status that a capped extraction returns.
+# Page status, statuses read from the document export.
 PAGE_OK = "success"
 PAGE_SIZE = 50
 SALE_STATUSES = ["completed", "pending", "cancelled"]
-EXTRACTION_CAP = 10200
 
-SALTS = 64
 _NO_DAY = "0001-01-01"  # sales without date count as oldest
 
 
@@ -51,9 +49,53 @@ def read_documents(spark: SparkSession, path: str, feed: str) -> DataFrame:
     return spark.read.schema(schemas.FEEDS[feed]).json(path)
 
 
+_CORRUPT = "_corrupt_record"
+
+
+def _with_corrupt(schema: T.StructType) -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField(_CORRUPT, T.StringType())])
+
+
+def delivered(spark: SparkSession, path: str, schema: T.StructType, required: list[str], seen: Observation, inside: str | None = None) -> DataFrame:
+    """Parsed lines of a feed; `seen` gets n, rejected and missing_0.. (one per required key) on the way.
+
+    Keys are counted on the delivered text, before the schema fills what is absent, in the pass
+    that reads the rows. `inside` names the list whose elements have the keys, as in pages.
+    Lines that are no JSON object are rejected: counted here, kept by `rejects`.
+    """
+    lines = spark.read.text(path).filter(F.trim("value") != "")
+    parsed = lines.select("value", F.from_json("value", _with_corrupt(schema), {"columnNameOfCorruptRecord": _CORRUPT}).alias("r"))
+    if inside:
+        items = F.from_json("value", f"{inside} array<map<string,string>>")[inside]
+        number = F.coalesce(F.size(items), F.lit(0))
+        lacking = lambda key: F.size(F.filter(items, lambda m: ~F.map_contains_key(m, key)))
+    else:
+        keys = F.json_object_keys("value")
+        number = F.lit(1)
+        lacking = lambda key: (~F.array_contains(keys, key)).cast("int")
+    good = F.col("r").isNotNull() & F.col(f"r.{_CORRUPT}").isNull()
+    counts = [F.coalesce(F.sum(F.when(good, lacking(key))), F.lit(0)).alias(f"missing_{i}") for i, key in enumerate(required)]
+    watched = parsed.observe(
+        seen, F.coalesce(F.sum(F.when(good, number)), F.lit(0)).alias("n"), F.count(F.when(~good, 1)).alias("rejected"), *counts
+    )
+    return watched.filter(good).select("r.*").drop(_CORRUPT)
+
+
+def rejects(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The lines of a feed that `delivered` rejects, as text."""
+    lines = spark.read.text(path).filter(F.trim("value") != "")
+    record = F.from_json("value", _with_corrupt(schema), {"columnNameOfCorruptRecord": _CORRUPT})
+    return lines.withColumn("r", record).filter(F.col("r").isNull() | F.col(f"r.{_CORRUPT}").isNotNull()).select("value")
+
+
+def with_status(docs: DataFrame) -> DataFrame:
+    """S3 without the order, which a landing does not need and which would read the feed twice."""
+    return docs.filter(F.col("status") >= "")
+
+
 def campaign_documents(docs: DataFrame) -> DataFrame:
     """S3: documents with a status, by status and newest start."""
-    return docs.filter(F.col("status") >= "").orderBy("status", F.desc_nulls_last("start_date"), "document_id")
+    return with_status(docs).orderBy("status", F.desc_nulls_last("start_date"), "document_id")
 
 
 def fill_campaign(sales: DataFrame) -> DataFrame:
@@ -62,12 +104,13 @@ def fill_campaign(sales: DataFrame) -> DataFrame:
 
 
 def sale_documents(docs: DataFrame, cap: int | None = None, statuses: list[str] | None = None) -> DataFrame:
-    """Sales in the read statuses, optionally only the newest `cap` of each.
+    """Sales in the read statuses; `cap`, off by default, keeps the newest `cap` of each.
 
-    With a cap, a count per status and day finds the day each status is cut on.
-    Newer days pass without any shuffle; only the cut day is ranked, first
-    within salted shares and then among the survivors, so no task sees more
-    than a share of one day or `SALTS * cap` rows.
+    With a cap, a count per status and day finds the day each status is cut on. Newer days pass
+    without any shuffle; only the cut day is ranked, first within shares and then among the
+    survivors. Both ranks have the literal cap, so each task passes on at most `cap` rows of a
+    share; the number of shares is the square root of the day's rows over the cap, so neither
+    step gathers more than the geometric mean of the two.
     """
     kept = docs.filter(F.col("status").isin(statuses or SALE_STATUSES))
     if cap is None:
@@ -78,7 +121,7 @@ def sale_documents(docs: DataFrame, cap: int | None = None, statuses: list[str]
     marked = dated.join(F.broadcast(cut), "status", "left")  # one row per status
     whole_days = marked.filter(F.col("__cut").isNull() | (F.col("__day") > F.col("__cut")))
     cut_day = marked.filter(F.col("__day") == F.col("__cut"))
-    return whole_days.select(*docs.columns).unionByName(_newest(cut_day, docs.columns).select(*docs.columns))
+    return whole_days.select(*docs.columns).unionByName(_newest(cut_day, docs.columns, cap).select(*docs.columns))
 
 
 def _cut_days(dated: DataFrame, cap: int) -> DataFrame:
@@ -88,20 +131,15 @@ def _cut_days(dated: DataFrame, cap: int) -> DataFrame:
     return (
         per_day.withColumn("newer", newer)
         .filter((F.col("newer") < cap) & (F.col("newer") + F.col("n") >= cap))
-        .select("status", F.col("__day").alias("__cut"), (F.lit(cap) - F.col("newer")).alias("__quota"))
+        .select("status", F.col("__day").alias("__cut"), (F.lit(cap) - F.col("newer")).alias("__quota"), F.ceil(F.sqrt(F.col("n") / cap)).alias("__shares"))
     )
 
 
-def _newest(rows: DataFrame, columns: list[str]) -> DataFrame:
+def _newest(rows: DataFrame, columns: list[str], cap: int) -> DataFrame:
     order: list[Column] = [F.desc_nulls_last("transaction_date")]
     order += [F.asc_nulls_last(c) for c in ("transaction_id", *columns) if c != "transaction_date"]
-    salt = F.pmod(F.xxhash64("transaction_id", "customer_id", "product_id", "amount"), F.lit(SALTS))
-    rank = F.row_number()
-    shares = Window.partitionBy("status", "__salt").orderBy(*order)
-    survivors = (
-        rows.withColumn("__salt", salt)
-        .withColumn("__rank", rank.over(shares))
-        .filter(F.col("__rank") <= F.col("__quota"))
-    )
-    final = Window.partitionBy("status").orderBy(*order)
-    return survivors.withColumn("__rank", rank.over(final)).filter(F.col("__rank") <= F.col("__quota"))
+    share = F.pmod(F.xxhash64("transaction_id", "customer_id", "product_id", "amount"), F.col("__shares"))
+    shares, final = (Window.partitionBy(*keys).orderBy(*order) for keys in (("status", "__share"), ("status",)))
+    survivors = rows.withColumn("__share", share).withColumn("__rank", F.row_number().over(shares)).filter(F.col("__rank") <= cap)
+    ranked = survivors.withColumn("__rank", F.row_number().over(final)).filter(F.col("__rank") <= cap)
+    return ranked.filter(F.col("__rank") <= F.col("__quota"))

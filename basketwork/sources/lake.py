@@ -23,7 +23,7 @@ KEEP_MARKER = ".keep"
 MAX_AGE_HOURS = 24
 
 _CSV = {
-    "header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False,
+    "header": True, "escape": '"', "multiLine": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False,
     "timestampFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS",
 }
 

@@ -45,25 +45,23 @@ def write_dimension(df: DataFrame, name: str, path: str) -> None:
     df.hint("rebalance", columns[0]).sortWithinPartitions(*columns).write.mode("overwrite").parquet(path)
 
 
-def write_fact(df: DataFrame, path: str, by_day: bool = True, large_days: bool = True, mode: str = "overwrite") -> None:
-    """Replace the fact, one folder per day, clustered inside each file.
-
-    Rebalancing gathers a day's rows in few files and lets AQE split a day that
-    is far larger than the others, such as the placeholder for missing dates.
-    With `large_days=False` all cores share the many small day files instead.
-    With `by_day=False` the rows stay in the tasks they are in, sorted by date,
-    for tables whose days would be tiny files: one file per task, no shuffle.
-    With dynamic partition overwrite (`session.SETTINGS`), writing some days again
-    replaces just those days.
+def write_fact(df: DataFrame, path: str) -> None:
+    """Replace the whole fact, one folder per day, clustered inside each file.
+
+    Rebalancing gathers a day's rows in few files and lets AQE split a day that is far larger
+    than the others, such as the placeholder for missing dates. Days that the new rows lack go.
     """
-    if not by_day:
-        spread = df
-    elif not large_days:
-        spread = df.repartition(df.sparkSession.sparkContext.defaultParallelism, PARTITION)
-    else:
-        spread = df.hint("rebalance", PARTITION)
-    writer = spread.sortWithinPartitions(PARTITION, *CLUSTERING[FACT]).write.mode(mode)
-    (writer.partitionBy(PARTITION) if by_day else writer).parquet(path)
+    _by_day(df).option("partitionOverwriteMode", "static").parquet(path)
+
+
+def replace_days(df: DataFrame, path: str) -> None:
+    """Replace just the days that `df` has rows of; other days stay."""
+    _by_day(df).option("partitionOverwriteMode", "dynamic").parquet(path)
+
+
+def _by_day(df: DataFrame):
+    spread = df.hint("rebalance", PARTITION).sortWithinPartitions(PARTITION, *CLUSTERING[FACT])
+    return spread.write.mode("overwrite").partitionBy(PARTITION)
 
 
 def append_rows(df: DataFrame, path: str) -> None:

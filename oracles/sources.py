@@ -18,12 +18,7 @@ FROM stg_campaigns WHERE status IS NOT NULL""",
     ),
     "s4_newest_per_status": sql(
         f"""SELECT * EXCLUDE (created_date, updated_date) REPLACE ({_SALES}, ifnull(campaign_id, '') AS campaign_id)
-FROM stg_sales WHERE status IN ('completed', 'pending', 'cancelled')
-QUALIFY 200 >= row_number() OVER (
-  PARTITION BY status ORDER BY transaction_date DESC NULLS LAST, transaction_id, customer_id NULLS LAST,
-    product_id NULLS LAST, campaign_id NULLS LAST, quantity NULLS LAST, unit_price NULLS LAST, amount NULLS LAST,
-    discount_amount NULLS LAST, tax_amount NULLS LAST, payment_method NULLS LAST, shipping_address NULLS LAST,
-    order_notes NULLS LAST, created_date NULLS LAST, updated_date NULLS LAST)""",
+FROM stg_sales WHERE status IN ('completed', 'pending', 'cancelled')""",
         "stg_sales",
     ),
     "s5_contract_report": sql(
@@ -36,7 +31,12 @@ SELECT key AS required_key, (SELECT count(*) FROM events) AS record_count,
   (SELECT count(*) FROM events WHERE NOT list_contains(json_keys(props), key)) AS missing_count
 FROM (VALUES ('k'), ('source')) v(key)""",
     "s6_first_record": """
-SELECT FALSE AS valid, 'source' AS missing_keys, count(*) AS record_count FROM events""",
+WITH first AS (SELECT json_keys(arg_min(props, event_id)) AS keys, count(*) AS record_count FROM events),
+lacking AS (
+  SELECT record_count, (SELECT coalesce(string_agg(key, ',' ORDER BY pos), '')
+    FROM (VALUES (1, 'k'), (2, 'source')) v(pos, key) WHERE NOT list_contains(keys, key)) AS missing_keys FROM first
+)
+SELECT missing_keys = '' AND record_count > 0 AS valid, missing_keys, record_count FROM lacking""",
     "s13_documents": sql(
         f"SELECT * EXCLUDE (created_date, updated_date) REPLACE ({_SALES}) FROM stg_sales", "stg_sales"
     ),

@@ -1,16 +1,18 @@
 from __future__ import annotations
 
 import datetime as dt
+import os
 from types import SimpleNamespace
 
 import pytest
 from conftest import DATA
+from pyspark.sql import functions as F
 
 from basketwork import schemas
 from basketwork.operators import lineage, monitoring, validation
 from basketwork.plans import landing, pipeline, warehouse
 from basketwork.session import shared_dir
-from basketwork.sources import sample_feeds
+from basketwork.sources import contracts, sample_feeds
 from basketwork.streaming import transactions as stream
 
 AT = dt.datetime(2001, 11, 5, 8)
@@ -20,7 +22,11 @@ pytestmark = pytest.mark.skipif(not DATA.exists(), reason="sample tables not pre
 
 @pytest.fixture(scope="module")
 def landed(spark, tmp_path_factory):
-    return landing.land(spark, str(DATA), str(tmp_path_factory.mktemp("landed")))
+    """The sample drops, with sales of two months, to keep the number of day folders small."""
+    raw = landing.land(spark, str(DATA), str(tmp_path_factory.mktemp("landed")))
+    months = spark.read.text(raw["sales_transactions"]).filter(F.col("value").rlike('"transaction_date":"1999-0[34]'))
+    months.write.text(few := str(tmp_path_factory.mktemp("landed") / "sales"))
+    return {**raw, "sales_transactions": few}
 
 
 @pytest.fixture(scope="module")
@@ -81,16 +87,21 @@ def test_cap_and_unhealthy_stop(spark, landed, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/staging/sales_transactions").count() <= 300
 
 
-def test_layouts_hold_the_same_rows(spark, tmp_path):
+def test_rebuild_drops_days_and_keeps_hot_and_odd_ones(spark, tmp_path):
     feeds = sample_feeds.all_feeds(spark, str(DATA))
     # one month of feed rows, to keep the number of folders small
-    march = "year(transaction_date) = 1999 and month(transaction_date) = 3"
-    feeds["sales_transactions"] = feeds["sales_transactions"].filter(march)
-    flat = warehouse.build(feeds, str(tmp_path / "flat"), sample_feeds.AS_OF, by_day=False).sales
-    daily = warehouse.build(feeds, str(tmp_path / "daily"), sample_feeds.AS_OF, by_day=True).sales
-    columns = [c for c in flat.columns if c != "created_timestamp"]
-    assert flat.count() == daily.count() > 0
-    assert flat.select(columns).exceptAll(daily.select(columns)).isEmpty()
+    feeds["sales_transactions"] = feeds["sales_transactions"].filter("transaction_date >= '1999-03-01' and transaction_date < '1999-04-01'")
+    path = str(tmp_path / "w")
+    whole = warehouse.build(feeds, path, sample_feeds.AS_OF).sales.agg(F.count("*"), F.countDistinct("transaction_date")).first()
+    fewer = {**feeds, "sales_transactions": feeds["sales_transactions"].filter("transaction_date < '1999-03-11'")}
+    again = warehouse.build(fewer, path, sample_feeds.AS_OF).sales
+    rows, days = again.agg(F.count("*"), F.countDistinct("transaction_date")).first()
+    assert 0 < rows < whole[0] and days < whole[1] and again.filter("transaction_date >= '1999-03-12'").isEmpty()
+    # a year-1 date changes nothing in the layout
+    odd = feeds["sales_transactions"].limit(1).withColumns({"transaction_date": F.to_timestamp(F.lit("0001-01-01")), "transaction_id": F.lit("odd")})
+    fewer["sales_transactions"] = fewer["sales_transactions"].unionByName(odd)
+    warehouse.build(fewer, path, sample_feeds.AS_OF)
+    assert all(p.startswith(("transaction_date=", ".", "_")) for p in os.listdir(f"{path}/fact_sales_transactions"))
 
 
 def test_stream_loads_each_sale_once(spark, feed, tmp_path):
@@ -117,8 +128,9 @@ def test_stream_loads_each_sale_once(spark, feed, tmp_path):
 
 def test_quarantine_splits_all_rows(spark, finished, tmp_path):
     sales = warehouse.load(spark, f"{finished[0]}/warehouse").sales
-    monitoring.quarantine(sales, str(tmp_path / "good"), str(tmp_path / "bad"))
-    good, bad = (spark.read.parquet(str(tmp_path / n)) for n in ("good", "bad"))
+    monitoring.quarantine(sales, str(tmp_path / "all"))
+    rows = spark.read.parquet(str(tmp_path / "all"))
+    good, bad = rows.filter("verdict = 'good'"), rows.filter("verdict = 'bad'")
     assert good.count() + bad.count() == sales.count() and bad.filter("reasons = ''").isEmpty()
 
 
@@ -126,24 +138,53 @@ def test_shared_folder_comes_from_the_session(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
 
 
-class FakeContext:
-    def __init__(self, master, folder=None):
-        self.master, self.folder = master, folder
-
-    def getCheckpointDir(self):
-        return self.folder
-
-    def setCheckpointDir(self, folder):
-        self.folder = folder
-
-
-def session_with(master, **conf):
-    return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: conf.get("folder", default)), sparkContext=FakeContext(master))
-
-
-def test_a_cluster_needs_a_shared_folder():
-    assert shared_dir(session_with("yarn", folder="hdfs:///shared/")) == "hdfs:///shared"
-    with pytest.raises(RuntimeError):
-        shared_dir(session_with("yarn"))
-    local = session_with("local[2]")
-    assert shared_dir(local) == shared_dir(local) == local.sparkContext.folder
+def session_with(**conf):
+    return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default=None: conf.get(key, default)))
+
+
+def test_the_shared_folder_is_never_a_temporary_one():
+    checkpoints, below = "spark.checkpoint.dir", "spark.sql.warehouse.dir"
+    assert shared_dir(session_with(**{checkpoints: "hdfs:///shared/", below: "x"})) == "hdfs:///shared"
+    assert shared_dir(session_with(**{below: "hdfs:///warehouse"})) == "hdfs:///warehouse/shared"
+
+
+def _rewritten(spark, path, tmp_path, change):
+    """The JSON lines of a drop after `change`, in a new folder."""
+    out = str(tmp_path / "changed")
+    change(spark.read.text(path)).write.text(out)
+    return out
+
+
+@pytest.mark.parametrize("feed, key", [("products", "price"), ("marketing_campaigns", "budget"), ("sales_transactions", "amount")])
+def test_an_absent_key_raises_or_warns(spark, landed, tmp_path, caplog, feed, key):
+    path = _rewritten(spark, landed[feed], tmp_path, lambda t: t.withColumn("value", F.regexp_replace("value", f'"{key}":', f'"no_{key}":')))
+    layout = pipeline.Layout(str(tmp_path / "run"))
+    if pipeline.ON_VIOLATION[feed] == "raise":
+        with pytest.raises(contracts.ContractError, match=key):
+            pipeline.ingest(spark, layout, {**landed, feed: path}, feed, AT, None)
+        assert not os.path.exists(f"{layout.staging}/{feed}")
+    else:
+        pipeline.ingest(spark, layout, {**landed, feed: path}, feed, AT, None)
+        assert f"records lack {key}" in caplog.text
+
+
+@pytest.mark.parametrize("feed", ["products", "marketing_campaigns", "sales_transactions"])
+def test_an_empty_feed_is_not_valid(spark, landed, tmp_path, caplog, feed):
+    path = _rewritten(spark, landed[feed], tmp_path, lambda t: t.limit(0))
+    layout, raw = pipeline.Layout(str(tmp_path / "run")), {**landed, feed: path}
+    if pipeline.ON_VIOLATION[feed] == "raise":
+        with pytest.raises(contracts.ContractError, match="no records"):
+            pipeline.ingest(spark, layout, raw, feed, AT, None)
+    else:
+        pipeline.ingest(spark, layout, raw, feed, AT, None)
+        assert "no records" in caplog.text
+
+
+def test_rejected_lines_are_kept_and_counted(spark, landed, tmp_path):
+    torn = '{"campaign_id": "torn", "name": "x'
+    path = _rewritten(spark, landed["marketing_campaigns"], tmp_path, lambda t: t.union(spark.createDataFrame([(torn,)], "value string")))
+    layout = pipeline.Layout(str(tmp_path / "run"))
+    pipeline.ingest(spark, layout, {**landed, "marketing_campaigns": path}, "marketing_campaigns", AT, None)
+    assert [r.value for r in spark.read.text(f"{layout.lake}/rejected/marketing_campaigns").collect()] == [torn]
+    assert spark.read.parquet(layout.events).first().error == "1 records rejected"
+    assert spark.read.parquet(f"{layout.staging}/marketing_campaigns").filter("campaign_id = 'torn' OR campaign_id IS NULL").isEmpty()

@@ -204,13 +204,27 @@ def test_fact_folders_by_day_and_day_overwrite(spark, warehouse, tmp_path):
     w = warehouse([{"customer_id": "c"}], [{"product_id": "p"}], [], [{"transaction_date": d} for d in days])
     path = str(tmp_path / "fact")
     tables.write_fact(w.sales, path)
-    tables.write_fact(w.sales, path + "2", large_days=False)
     assert {p for p in os.listdir(path) if "=" in p} == {"transaction_date=2024-06-01", "transaction_date=2024-06-02"}
     read = tables.stored(spark, path)
-    assert read.filter("transaction_date = '2024-06-01'").count() == 2 and tables.stored(spark, path + "2").count() == 3
-    # writing one day again replaces that day only
-    tables.write_fact(w.sales.filter("transaction_date = '2024-06-01'").limit(1), path)
+    assert read.filter("transaction_date = '2024-06-01'").count() == 2
+    # one day replaced, then the whole fact: other days stay, then go
+    tables.replace_days(w.sales.filter("transaction_date = '2024-06-01'").limit(1), path)
     assert tables.stored(spark, path).count() == 2
+    tables.write_fact(w.sales.filter("transaction_date = '2024-06-02'"), path)
+    assert tables.stored(spark, path).count() == 1
+
+
+def test_a_hot_day_is_split_over_tasks(spark, tmp_path):
+    keys = {c: F.lit("x") for c in tables.CLUSTERING[tables.FACT]}
+    day = spark.range(200_000).withColumns({**keys, "v": F.sha2(F.col("id").cast("string"), 256), tables.PARTITION: F.to_date(F.lit("1900-01-01"))})
+    size = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", None)
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1m")
+    try:
+        tables.write_fact(day.repartition(8), str(tmp_path / "hot"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", size or "64m")
+    files = [f for f in os.listdir(tmp_path / "hot" / "transaction_date=1900-01-01") if f.endswith(".parquet")]
+    assert len(files) > 2 and tables.stored(spark, str(tmp_path / "hot")).count() == 200_000
 
 
 def test_export(spark, tmp_path):
