@@ -53,13 +53,16 @@ def raked(cells: DataFrame, targets: Mapping[str, DataFrame], rounds: int = ROUN
     Every round is stored, so lineage stays short. Sums per value are combined before the shuffle.
     """
     current = cells.withColumn("_weight", F.col("_tokens").cast("double"))
+    for dimension, target in targets.items():
+        current = current.join(target.withColumnRenamed("share", f"{dimension}_share"), dimension)
+    current = stored(current, "raked")
     for _ in range(rounds):
-        for dimension, target in targets.items():
-            sums = current.groupBy(dimension).agg(F.sum("_weight").alias("m")).join(target, dimension)
-            scale = sums.select(dimension, F.when(F.col("m") > 0, F.col("share") / F.col("m")).otherwise(0.0).alias("f"))
-            current = current.join(scale, dimension).withColumn("_weight", F.col("_weight") * F.col("f")).drop("f")
+        for dimension in targets:
+            sums = current.groupBy(dimension).agg(F.sum("_weight").alias("_sum"))
+            scaled = F.when(F.col("_sum") > 0, F.col("_weight") * (F.col(f"{dimension}_share") / F.col("_sum"))).otherwise(0.0)
+            current = current.join(sums, dimension).withColumn("_weight", scaled).drop("_sum")
         current = stored(current, "raked")
-    return current
+    return current.drop(*(f"{d}_share" for d in targets))
 
 
 def calibrated(docs: DataFrame, keep: float = KEEP, weights: Mapping[str, Mapping[str, float]] | None = None) -> DataFrame:
