@@ -223,14 +223,14 @@ def summary(lineage: Lineage) -> DataFrame:
     return reduce(DataFrame.unionByName, rows).orderBy("category")
 
 
-def edges(lineage: Lineage, top: int = 10) -> DataFrame:
+def edges(lineage: Lineage, top: int | None = 10) -> DataFrame:
     """M2: named edges with rule and confidence."""
     return (
         complete_lineage(lineage)
         .orderBy("source_name", "target_name", "transformation_name", "relationship_id")
         .select("source_name", "target_name", "transformation_name", "relationship_type", "confidence_score",
                 "relationship_id")
-        .limit(top)
+        .transform(lambda rows: rows if top is None else rows.limit(top))
     )
 
 
@@ -279,13 +279,13 @@ def executions(log: DataFrame) -> DataFrame:
     )
 
 
-def latest_executions(log: DataFrame, top: int = 15) -> DataFrame:
+def latest_executions(log: DataFrame, top: int | None = 15) -> DataFrame:
     """M3: the newest executions."""
     return (
         executions(log)
         .select("execution_id", "dag_id", "task_id", "execution_status", "start_time", "end_time", "records_processed")
         .orderBy(F.desc("start_time"), "execution_id")
-        .limit(top)
+        .transform(lambda rows: rows if top is None else rows.limit(top))
     )
 
 

@@ -376,9 +376,9 @@ def system_health(results: DataFrame, day: dt.date | None = None) -> DataFrame:
     return _of_day(results, day).agg(F.when(bad > 0, UNHEALTHY).otherwise(HEALTHY).alias("system_health"))
 
 
-def latest_results(results: DataFrame, top: int = 20) -> DataFrame:
+def latest_results(results: DataFrame, top: int | None = 20) -> DataFrame:
     """M1: the newest check results."""
-    return results.orderBy(F.desc("check_timestamp"), "check_type", "table_name").limit(top)
+    return results.orderBy(F.desc("check_timestamp"), "check_type", "table_name").transform(lambda rows: rows if top is None else rows.limit(top))
 
 
 def result_patterns(results: DataFrame) -> DataFrame:

@@ -181,7 +181,7 @@ def _sales_by_country(w: Warehouse) -> DataFrame:
     )
 
 
-def revenue_by_country(w: Warehouse, top: int = TOP_COUNTRIES) -> DataFrame:
+def revenue_by_country(w: Warehouse, top: int | None = TOP_COUNTRIES) -> DataFrame:
     """Countries by revenue."""
     return (
         _sales_by_country(w)
@@ -192,7 +192,7 @@ def revenue_by_country(w: Warehouse, top: int = TOP_COUNTRIES) -> DataFrame:
             mean(F.col("revenue"), F.col("n")).alias("avg_transaction_value"),
         )
         .orderBy(F.desc("total_revenue"), "country")
-        .limit(top)
+        .transform(lambda rows: rows if top is None else rows.limit(top))
     )
 
 
@@ -200,7 +200,7 @@ def multi_dimensional(
     w: Warehouse,
     since: dt.date = REPORT_SINCE,
     more_than: int = MIN_GROUP_SALES,
-    top: int = TOP_GROUPS,
+    top: int | None = TOP_GROUPS,
 ) -> DataFrame:
     """Category x country x channel; sales without campaign keep a null channel."""
     n, revenue = F.col("n"), F.col("revenue")
@@ -216,7 +216,7 @@ def multi_dimensional(
             mean(revenue, n).alias("avg_transaction_value"),
         )
         .orderBy(F.desc("total_revenue"), "category", "country", F.coalesce("channel", F.lit(DIRECT)))
-        .limit(top)
+        .transform(lambda rows: rows if top is None else rows.limit(top))
     )
 
 
@@ -252,7 +252,7 @@ def summary(w: Warehouse, as_of: dt.datetime | None = None) -> DataFrame:
     )
 
 
-def country_kpis(w: Warehouse, top: int = TOP_COUNTRIES) -> DataFrame:
+def country_kpis(w: Warehouse, top: int | None = TOP_COUNTRIES) -> DataFrame:
     """Buyers, revenue and mean order value per country."""
     return (
         _sales_by_country(w)
@@ -263,7 +263,7 @@ def country_kpis(w: Warehouse, top: int = TOP_COUNTRIES) -> DataFrame:
             mean(F.col("revenue"), F.col("n")).alias("avg_order_value"),
         )
         .orderBy(F.desc("total_revenue"), "country")
-        .limit(top)
+        .transform(lambda rows: rows if top is None else rows.limit(top))
     )
 
 

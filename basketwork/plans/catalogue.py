@@ -192,12 +192,29 @@ LINEAGE: dict[str, Query] = {
     "l12_executions": _on_log(lineage.executions),
     "l13_edges": _on_history(lambda registry: registry.active()),
     "l14_running_times": _on_log(lineage.running_times),
+    "l13_l14_tracked_feeds": lambda spark, d: _tracked_feeds(spark, d),
     "m2_edges": _on_history(lineage.edges),
     "m3_runs": _on_log(lineage.latest_executions),
 }
 
 
 
+def _tracked_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Count each feed in a tracked step, capture its relationship, and read log and captures."""
+    folder = _fresh_folder(spark)
+    tracker = lineage.Tracker(spark, folder, run_id="tracked")
+    for feed, df in sample_feeds.all_feeds(spark, sf_dir).items():
+        with tracker.step(*pipeline.STEPS[feed], source_table=feed, target_table="staging_area") as step:
+            step.records = df.count()
+        pipeline.capture_of(tracker, step, feed)
+    steps = lineage.executions(tables.stored(spark, f"{folder}/execution_log", schemas.EXECUTION_LOG))
+    captured = tables.stored(spark, f"{folder}/relationships", schemas.LINEAGE_RELATIONSHIPS)
+    per_step = captured.filter("is_active").groupBy("dag_id", "task_id").agg(F.count_distinct("relationship_id").alias("captures"))
+    return steps.join(per_step, ["dag_id", "task_id"]).select(
+        "source_table", "execution_status", "records_processed", "lineage_captured", "captures"
+    )
+
+
 def _fresh_folder(spark: SparkSession) -> str:
     return f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
 

@@ -157,14 +157,14 @@ def run(
     for feed in schemas.FEEDS:
         with tracker.step(*STEPS[feed], source_table=feed, target_table=f"staging_area.{feed}") as step:
             step.records = ingest(spark, layout, raw, feed, at, cap)
-        _capture(tracker, step, feed)
+        capture_of(tracker, step, feed)
     staging_counts = validation.require_rows(staging(spark, layout))
     with tracker.step("transformation_dag", "transform", "staging_area", "data_warehouse") as step:
         w = transform(spark, layout, as_of, at)
         warehouse_counts = validation.require_rows(w.tables)
         step.records = sum(warehouse_counts.values())
     for table in schemas.WAREHOUSE_TABLES:
-        _capture(tracker, step, table)
+        capture_of(tracker, step, table)
     with tracker.step("data_quality_dag", "quality_checks", "data_warehouse", "data_quality_results"):
         health = check(w, layout, at)
     if raise_when_unhealthy and health != "HEALTHY":
@@ -173,7 +173,7 @@ def run(
     return Run(staging_counts, warehouse_counts, health, seconds, tracker.errors)
 
 
-def _capture(tracker: lineage.Tracker, step: lineage.Step, name: str) -> None:
+def capture_of(tracker: lineage.Tracker, step: lineage.Step, name: str) -> None:
     source_id, target_id, rule, kind, confidence, pipeline = CAPTURES[name]
     tracker.capture(step, pipeline, source_id, target_id, rule, kind, confidence)
 

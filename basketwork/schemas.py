@@ -13,6 +13,7 @@ def _struct(**fields: T.DataType) -> T.StructType:
     return T.StructType([T.StructField(name, kind) for name, kind in fields.items()])
 
 
+# Columns and types of the feeds, as delivered.
 CUSTOMERS = _struct(
     customer_id=_S, first_name=_S, last_name=_S, email=_S, phone=_S, address=_S,
     city=_S, country=_S, registration_date=_DATE, age=_L,
@@ -74,8 +75,10 @@ FEEDS = {
 }
 STAGING = {name: T.StructType(FEEDS[name].fields + METADATA[name].fields) for name in FEEDS}
 
+# Names of the warehouse tables.
 WAREHOUSE_TABLES = ["dim_customers", "dim_products", "dim_campaigns", "fact_sales_transactions"]
 
+# Columns and types of the result, lineage, log and event tables.
 QUALITY_RESULTS = _struct(
     table_name=_S, check_type=_S, check_status=_S, check_timestamp=_TS, metric_value=_D,
     threshold_value=_D, status_description=_S, recommended_action=_S,

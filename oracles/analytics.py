@@ -1,4 +1,7 @@
-"""Oracle SQL of the eleven business reports."""
+"""Oracle SQL of the eleven business reports.
+
+Fixed values: output names, labels, limits, and the order of the rules in the CASE ladders.
+"""
 
 from oracles.base import AS_OF, cents, half_up, mean, sql
 

@@ -2,6 +2,8 @@
 
 Statements are composed from named CTEs; `sql(body, *names)` prepends the ones
 a statement needs, with everything they build on, in order.
+
+Fixed values: defaults and word lists of the cleaning rules.
 """
 
 from __future__ import annotations

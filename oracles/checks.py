@@ -1,4 +1,7 @@
-"""Oracle SQL of the quality checks, validation queries and gates."""
+"""Oracle SQL of the quality checks, validation queries and gates.
+
+Fixed values: check names, status texts and limits.
+"""
 
 from oracles.base import AS_OF, cents, cte, half_up, mean, sql
 

@@ -49,6 +49,14 @@ UNION ALL SELECT 'products', 'overwrite', count(*) FROM stg_products""",
         """SELECT transaction_date, count(*) AS transactions, sum(amount)::DOUBLE AS revenue FROM fact GROUP BY 1""",
         "fact",
     ),
+    "l13_l14_tracked_feeds": sql(
+        """SELECT source_table, 'SUCCESS' AS execution_status, n AS records_processed, TRUE AS lineage_captured, 1 AS captures
+FROM (SELECT 'customers' AS source_table, count(*) AS n FROM stg_customers
+UNION ALL SELECT 'products', count(*) FROM stg_products
+UNION ALL SELECT 'marketing_campaigns', count(*) FROM stg_campaigns
+UNION ALL SELECT 'sales_transactions', count(*) FROM stg_sales)""",
+        "stg_customers", "stg_products", "stg_campaigns", "stg_sales",
+    ),
     "s22_export": a8,
     "s24_ingestion_events": sql(
         """SELECT 'customers' AS source, 'raw' AS layer, 'SUCCESS' AS status, count(*) AS record_count FROM stg_customers
