@@ -7,10 +7,12 @@ from compare import connect, difference
 from conftest import DATA
 
 import __spark_entry__ as contract
+from basketwork.plans.catalogue import all_queries
+from oracles import all_oracles
 
 pytestmark = pytest.mark.skipif(not DATA.exists(), reason="sample tables not present")
 
-QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
+QUERIES, ORACLES = all_queries(), all_oracles()
 # listings of written files, which SQL cannot restate; the stream is tested in test_pipeline
 WITHOUT_ORACLE = {"v1_tables", "s14_layer_listing", "s23_file_freshness", "d11_streamed_sales"}
 # writes a folder per day: compared at a larger scale by tests/compare.py
@@ -36,5 +38,9 @@ def test_query_runs(spark, name):
     assert QUERIES[name](spark, str(DATA)).count() > 0
 
 
+def test_the_contract_has_all_queries():
+    assert set(QUERIES) <= set(contract.queries()) and set(ORACLES) <= set(contract.oracle_sql())
+
+
 def test_entry(spark):
     assert contract.entry(spark).count() > 0
