@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from basketwork.llm.sharding import hash_bits
 
 # The fit reads at most so many labelled documents of each label, chosen by the hash of their id.
-MAX_TOXIC, MAX_CLEAN = 3000, 5000
+MAX_TOXIC, MAX_CLEAN = 2000, 3000
 FEATURE_BITS = 18
 PREFIXES = (3, 4, 5)
 ROUNDS = 60
