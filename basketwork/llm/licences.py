@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -54,8 +56,10 @@ TEXT_RULES = (
     (("gpl2-or-later",), "GPL-2.0-or-later"),
     (("mpl-notice",), "MPL-2.0"),
 )
-# A sentence that holds none of these stems is no licence sentence.
-STEMS = ("icen", "ICEN", "ights reserved", "IGHTS RESERVED", "ermission", "ERMISSION", "edistribut", "EDISTRIBUT", "arrant", "ARRANT", "opyright notice")
+# A sentence that is not known and holds none of these stems, after `normalised`, is no licence sentence.
+STEMS = ("icen", "ights reserved", "ermission", "edistribut", "arrant", "opyright notice")
+# Marks the end of a sentence in `normalised` text; line breaks stay line breaks.
+END = "\x01"
 
 
 def sentence_ids() -> dict[str, str]:
@@ -74,27 +78,49 @@ def rules() -> list[tuple[str, str]]:
     return [(f",{',,'.join(ids)},", licence) for ids, licence in (*TEXT_RULES, *grants, *reserved)]
 
 
-def has_stem(text: Column) -> Column:
-    found = text.contains(STEMS[0])
+def has_stem(plain: Column) -> Column:
+    found = plain.contains(STEMS[0])
     for stem in STEMS[1:]:
-        found = found | text.contains(stem)
+        found = found | plain.contains(stem)
     return found
 
 
-def sentences(text: Column) -> Column:
-    """Sentences end at `.`, `!`, `?`, `;` or `:` before white space, and at blank lines."""
-    return F.split(text, r"(?<=[.!?;:])\s+|\n\s*\n")
+def hinted(text: Column) -> Column:
+    """Whether a text as it is written may hold a stem."""
+    return text.rlike("(?i)" + "|".join(stem.replace(" ", "[^a-z0-9]+") for stem in STEMS))
+
+
+def normalised(text: Column) -> Column:
+    """Lower case, comment marks and punctuation as one blank, no full stops or blanks at the ends of lines.
+
+    Sentences end at `.`, `!`, `?`, `;` or `:` before white space, and at blank lines;
+    `v.` ends none.
+    """
+    ended = F.regexp_replace(F.lower(F.translate(text, END, " ")), r"(?<=[.!?;:])(?<!\bv\.)\s+|\n\s*\n", END)
+    plain = F.regexp_replace(ended, f"[^a-z0-9.\n{END}]+", " ")
+    lines = F.regexp_replace(plain, r"^[ .]+|[ .]+$|[ .]*\n[ .\n]*", "\n")
+    return F.regexp_replace(lines, f"[ .\n]*{END}[ .\n{END}]*", END)
+
+
+def _gaps(sentence: str) -> str:
+    """A known sentence as a pattern: its words may be parted by line breaks, which take a full stop away."""
+    return re.sub(r"(\\\.)?\\? ", lambda m: r"\.?[ \n]" if m[1] else r"[ \n]", re.escape(sentence))
 
 
-def normalised(sentence: Column) -> Column:
-    """Lower case, comment marks, punctuation and line breaks as one blank, no full stop at the end."""
-    plain = F.regexp_replace(F.lower(sentence), "[^a-z0-9.]+", " ")
-    return F.regexp_replace(plain, "^[ .]+|[ .]+$", "")
+def known_pattern() -> str:
+    """Every known sentence, from the start of a line or sentence to the end of one; the longest first."""
+    options = lambda parts: "|".join(_gaps(p) for p in sorted(parts, key=len, reverse=True))
+    grant = rf"(?:{options(SUBJECTS)})(?:{options(VERBS)})(?:the[ \n])?(?:{options(NAMES)})"
+    return rf"(?<![^\n{END}])({options(SENTENCES)}|{grant})(?![^\n{END}])"
 
 
-def _identified(sentence: Column) -> Column:
-    table = F.create_map(*(F.lit(x) for pair in sentence_ids().items() for x in pair))
-    return F.coalesce(F.try_element_at(table, normalised(sentence)), F.lit("unknown"))
+def _identified(text: Column) -> Column:
+    """Identifiers of the known sentences of a text, in order; `unknown` for what is left of a sentence and has a stem."""
+    table = F.create_map(*(F.lit(x) for s, i in sentence_ids().items() for x in (s.replace(". ", " "), i)))
+    pieces = F.split(F.regexp_replace(normalised(text), known_pattern(), f"{END}=$1{END}"), END)
+    sentence = lambda p: F.regexp_replace(F.substr(p, F.lit(2)), rf"\.?[ \n]", " ")
+    named = lambda p: F.when(p.startswith("="), F.try_element_at(table, sentence(p))).when(has_stem(F.translate(p, "\n", " ")), "unknown")
+    return F.filter(F.transform(pieces, named), lambda i: i.isNotNull())
 
 
 def _matched(ids: Column) -> Column:
@@ -117,15 +143,15 @@ def _matched(ids: Column) -> Column:
 def licence_scan(docs: DataFrame) -> DataFrame:
     """doc_id, licences (in rule order, joined by ` AND `, empty if none), n_known, n_unknown of every row.
 
-    Sentences with a licence stem are normalised and mapped to known identifiers; others of them
-    count as unknown and break a sequence. The identifiers of a document, in order, are matched
+    Known sentences are found in normalised text wherever they reach from the start of a line or
+    sentence to the end of one, over any number of line breaks, with or without full stops. What
+    is left of a sentence and has a licence stem counts as unknown and breaks a sequence. The identifiers of a document, in order, are matched
     against the rules from the first to the last; what a rule matches is taken from later rules.
     Null and empty texts have no sentences. Rows are kept as they are, repeated and null ids
     included; other columns are ignored; an empty table gives none. No shuffle.
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    ids = F.transform(F.filter(sentences(text), has_stem), _identified)
-    rows = docs.select("doc_id", F.when(has_stem(text), ids).alias("ids"))
+    rows = docs.select("doc_id", F.when(hinted(text), _identified(text)).alias("ids"))
     known = F.size(F.filter("ids", lambda i: i != "unknown"))
     licences = F.when(known > 0, F.array_join(F.array_distinct(_matched(F.col("ids"))["found"]), " AND ")).otherwise("")
     return rows.select(
