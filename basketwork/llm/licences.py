@@ -57,7 +57,7 @@ TEXT_RULES = (
     (("mpl-notice",), "MPL-2.0"),
 )
 # A sentence that is not known and holds none of these stems, after `normalised`, is no licence sentence.
-STEMS = ("icen", "ights reserved", "ermission", "edistribut", "arrant", "opyright notice")
+STEMS = ("icen", "ights reserved", "ermission", "edistribut", "arrant", "opyright notice", "under cc", "under the cc")
 # Marks the end of a sentence in `normalised` text; line breaks stay line breaks.
 END = "\x01"
 
