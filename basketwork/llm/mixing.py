@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -11,6 +12,8 @@ from basketwork.llm.common import stored, words
 from basketwork.llm.sharding import BITS, hash_bits
 
 ROUNDS = 10
+# Rounds of raking within the cells' tokens, which ends early once every sum fits to TOLERANCE of all tokens.
+BOUNDED_ROUNDS, TOLERANCE = 1000, 1e-7
 DIMENSIONS = ("source", "lang", "topic")
 # Target shares without given weights are token shares to this power: below 1, small values gain.
 EXPONENT = 0.5
@@ -65,18 +68,80 @@ def raked(cells: DataFrame, targets: Mapping[str, DataFrame], rounds: int = ROUN
     return current.drop(*(f"{d}_share" for d in targets))
 
 
-def calibrated(docs: DataFrame, keep: float = KEEP, weights: Mapping[str, Mapping[str, float]] | None = None) -> DataFrame:
-    """One row per source, language and topic: tokens, target share, and the probability of its documents.
+def reachable(shares: np.ndarray, supply: np.ndarray, total: float) -> np.ndarray:
+    """Tokens of each value: `total` by shares; what a value has too little of goes to the others by their shares."""
+    goal, free = np.zeros(len(shares)), shares > 0
+    while free.any():
+        left = max(0.0, total - goal[~free].sum())
+        even = np.where(free, shares * (left / shares[free].sum()), goal)
+        short = free & (even > supply)
+        if not short.any():
+            return even
+        goal[short], free = supply[short], free & ~short
+    return goal
 
-    The probability is the target's tokens, of `keep` times all tokens, over the cell's own, at
-    most 1: a cell that has too few tokens is kept whole and not repeated.
+
+def bounded(codes: np.ndarray, tokens: np.ndarray, shares: list[np.ndarray], total: float) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Expected tokens of each cell, none above its own, raked to the reachable sums; and those sums.
+
+    `codes` has each cell's value in each dimension. What the bound takes from a cell goes to
+    others of the same value. If no weights meet all sums together, the last round's stand.
     """
+    supply = [np.bincount(c, tokens, len(s)) for c, s in zip(codes, shares)]
+    total = min([total, *(t[s > 0].sum() for t, s in zip(supply, shares))])
+    goals = [reachable(s, t, total) for s, t in zip(shares, supply)]
+    weight, near = tokens * (total / max(tokens.sum(), 1.0)), TOLERANCE * max(total, 1.0)
+    for _ in range(BOUNDED_ROUNDS):
+        for code, goal in zip(codes, goals):
+            for _ in range(BOUNDED_ROUNDS):
+                sums = np.bincount(code, weight, len(goal))
+                new = np.minimum(weight * np.divide(goal, sums, out=np.zeros(len(goal)), where=sums > 0)[code], tokens)
+                done, weight = np.abs(new - weight).max(initial=0.0) <= near / 10, new
+                if done:
+                    break
+        if all(np.abs(np.bincount(c, weight, len(g)) - g).max(initial=0.0) <= near for c, g in zip(codes, goals)):
+            break
+    return weight, goals
+
+
+def _cells_and_targets(docs: DataFrame, weights: Mapping[str, Mapping[str, float]] | None) -> tuple[DataFrame, dict[str, DataFrame]]:
     cells = stored(
         docs.select(*(c.alias(k) for k, c in _features(docs).items()))
         .groupBy("_source", "_lang", "_topic").agg(F.sum("_tokens").alias("_tokens")).filter("_tokens > 0"),
         "cells",
     )
-    targets = {f"_{d}": stored(_targets(cells, f"_{d}", (weights or {}).get(d)), "targets") for d in DIMENSIONS}
+    return cells, {f"_{d}": stored(_targets(cells, f"_{d}", (weights or {}).get(d)), "targets") for d in DIMENSIONS}
+
+
+def _fitted(cells: DataFrame, targets: Mapping[str, DataFrame], keep: float):
+    """Rows of the cells, their expected tokens, and (value, target share, reachable tokens) of each dimension."""
+    rows = sorted(cells.collect(), key=lambda r: tuple(r[d] for d in targets))
+    found = [sorted((r[0], r[1]) for r in target.collect()) for target in targets.values()]
+    places = [{v: i for i, (v, _) in enumerate(pairs)} for pairs in found]
+    codes = [np.array([at[r[d]] for r in rows], dtype=np.int64) for d, at in zip(targets, places)]
+    tokens = np.array([r._tokens for r in rows], dtype=float)
+    weight, goals = bounded(codes, tokens, [np.array([s for _, s in pairs]) for pairs in found], keep * tokens.sum())
+    return rows, tokens, weight, codes, [[(*pair, g) for pair, g in zip(pairs, goal)] for pairs, goal in zip(found, goals)]
+
+
+def calibrated(
+    docs: DataFrame, keep: float = KEEP, weights: Mapping[str, Mapping[str, float]] | None = None, within_supply: bool = True
+) -> DataFrame:
+    """One row per source, language and topic: tokens, share, and the probability of its documents.
+
+    The probability is the cell's part of `keep` times all tokens over its own tokens. The parts
+    are raked within the cells' tokens: none is above 1, no document is repeated, and what a
+    cell or value has too little of comes from others (`margins` tells where). Without
+    `within_supply` they are raked as if cells had any number of tokens, then cut at 1.
+    The cells, not the documents, come to the driver.
+    """
+    cells, targets = _cells_and_targets(docs, weights)
+    if within_supply:
+        rows, tokens, weight, _, _ = _fitted(cells, targets, keep)
+        whole = float(weight.sum()) or 1.0
+        values = [(r._source, r._lang, r._topic, r._tokens, float(w) / whole, round(float(w / t), 6)) for r, w, t in zip(rows, weight, tokens)]
+        schema = "_source string, _lang string, _topic string, _tokens long, _share double, _rate double"
+        return stored(docs.sparkSession.createDataFrame(values, schema), "rates")
     fitted = raked(cells, targets)
     weight, tokens = fitted.agg(F.sum("_weight"), F.sum("_tokens")).first()
     share = F.col("_weight") / (weight or 1.0)
@@ -89,18 +154,37 @@ def calibrated(docs: DataFrame, keep: float = KEEP, weights: Mapping[str, Mappin
     )
 
 
-def mixture(docs: DataFrame, keep: float = KEEP, weights: Mapping[str, Mapping[str, float]] | None = None) -> DataFrame:
+def margins(docs: DataFrame, keep: float = KEEP, weights: Mapping[str, Mapping[str, float]] | None = None) -> DataFrame:
+    """dimension, value, target (share), reachable and expected (tokens) of every value of the dimensions.
+
+    Reachable differs from the target's tokens where a value has too few; expected differs from
+    reachable where no choice of documents meets all sums together.
+    """
+    cells, targets = _cells_and_targets(docs, weights)
+    _, _, weight, codes, found = _fitted(cells, targets, keep)
+    rows = [
+        (d, v[1:] if v != "-" else None, float(share), float(goal), float(got))
+        for d, code, values in zip(DIMENSIONS, codes, found)
+        for (v, share, goal), got in zip(values, np.bincount(code, weight, len(values)))
+    ]
+    return docs.sparkSession.createDataFrame(rows, "dimension string, value string, target double, reachable double, expected double")
+
+
+def mixture(
+    docs: DataFrame, keep: float = KEEP, weights: Mapping[str, Mapping[str, float]] | None = None, within_supply: bool = True
+) -> DataFrame:
     """`docs` with n_tokens, topic, probability and selected.
 
     Token weights of the cells are raked to the target shares of sources, languages and topics
-    (`weights`: given weights by dimension and value, others by `EXPONENT`). A document is
+    (`weights`: given weights by dimension and value, others by `EXPONENT`), within what the cells
+    hold unless `within_supply` is off (see `calibrated`). A document is
     selected if its hash, even in 0..1, is below its cell's probability; so reruns agree and
     repeated rows share their fate. Null source, lang or topic is a value of its own. A document
     without words has no tokens to weigh; it gets probability 0. A topic column is used if there
     is one, else topics are found by `TOPICS`. Other columns are kept, clashing result names
     replaced; an empty table gives none.
     """
-    rates = calibrated(docs, keep, weights).drop("_tokens", "_share")
+    rates = calibrated(docs, keep, weights, within_supply).drop("_tokens", "_share")
     own = F.coalesce(F.col("doc_id").cast("string"), F.col("text").cast("string"), F.lit(""))
     draw = hash_bits(F.concat(F.lit("mix:"), own)) / F.lit(float(1 << BITS))
     rows = docs.withColumns(_features(docs) | {"_draw": draw}).join(rates, ["_source", "_lang", "_topic"], "left")

@@ -33,7 +33,8 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = mixing.mixture(table(spark, sf_dir, "documents"))
+    """Rates are raked without bounds and cut at 1, as the query's SQL has them; the pipeline rakes within supply."""
+    rows = mixing.mixture(table(spark, sf_dir, "documents"), within_supply=False)
     return rows.select("doc_id", "source", "lang", "topic", "n_tokens", "probability", "selected")
 
 
