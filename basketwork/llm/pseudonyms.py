@@ -14,7 +14,7 @@ FIRST_DAY, DAYS = "1900-01-01", (17, 4297)
 # The written forms that are looked for, in order of precedence.
 FORMS = {
     "email": r"[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
-    "secret": r'\bAKIA[A-Z0-9]{16}\b|\b(?:password|token|secret|api_key) ?[=:] ?"?[A-Za-z0-9_-]{8,}"?',
+    "secret": r'\bAKIA[A-Z0-9]{16}\b|\b(?i:password|token|secret|api_key) ?[=:] ?"?[A-Za-z0-9_-]{8,}"?',
     "date": r"(?<![0-9.-])(?:(?:19|20)[0-9]{2}-[01][0-9]-[0-3][0-9]|[0-3]?[0-9]([./])[0-3]?[0-9]\1(?:19|20)[0-9]{2})(?![0-9]|[.-][0-9])",
     "ip": r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?!\.?[0-9])",
     "national_id": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9]|-[0-9])",
@@ -24,7 +24,7 @@ FORMS = {
 }
 PATTERN = "|".join(f"(?:{form})" for form in FORMS.values())
 # A text without any of these holds none of the forms.
-HINT = "[0-9@]|AKIA|(?:password|token|secret|api_key) ?[=:]"
+HINT = "[0-9@]|AKIA|(?i:password|token|secret|api_key) ?[=:]"
 
 
 def _characters(text: Column) -> Column:
@@ -127,7 +127,7 @@ def _email(m: Column, key: str) -> Column:
 
 
 def _secret(m: Column, key: str) -> Column:
-    head = F.regexp_extract(m, '^(?:AKIA|[a-z_]+ ?[=:] ?"?)', 0)
+    head = F.regexp_extract(m, '^(?:AKIA|[A-Za-z_]+ ?[=:] ?"?)', 0)
     return F.concat(head, permuted_text(F.substr(m, F.length(head) + 1), key, "secret"))
 
 

@@ -49,6 +49,13 @@ def test_secrets(docs):
     assert row.pii_kinds == ["secret"] * 3 and "MD62HKU6" not in row.text and "0641917ea4" not in row.text and row.text.endswith(" ok")
 
 
+def test_secrets_of_keys_in_capitals(docs):
+    row = one(docs, 'TOKEN = "9233A8EC41" PASSWORD=e3b3ed3cc8548923d6 Api_Key: abcdefghij ok')
+    assert row.pii_kinds == ["secret"] * 3 and "9233A8EC41" not in row.text and "e3b3ed3c" not in row.text
+    assert row.text.startswith('TOKEN = "') and " PASSWORD=" in row.text and " Api_Key: " in row.text and "abcdefghij" not in row.text
+    assert one(docs, "SECRET: abcdefghij").text != "SECRET: abcdefghij"
+
+
 def test_runs_without_python(docs):
     plan = p.pseudonymised(docs("x"), "k")._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
