@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketwork.llm import decontamination, html_text, licences, mixing, pseudonyms, quality_rules, sharding, simhash, token_counts, toxicity
-from basketwork.llm.common import scratch, table
+from basketwork.llm import (
+    decontamination, html_text, licences, mixing, periodic_runs, pseudonyms, quality_rules, sharding, simhash, token_counts, toxicity,
+)
+from basketwork.llm.common import let, scratch, table, words
 
 
 def op1_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,6 +58,38 @@ def op10_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "text", F.array_join("pii_kinds", ",").alias("pii_kinds"), F.size("pii_kinds").cast("long").alias("n_pii"))
 
 
+def planted_period(doc_id: Column, text: Column) -> Column:
+    """The text of op11: one document in ten repeats a stretch of its words to its end; others stay as they are."""
+    h = F.crc32(doc_id.cast("string"))
+    g = F.floor(h / 10)
+
+    def repeated(w: Column) -> Column:
+        n = F.size(w)
+        a = (g % n).cast("int")
+        p = (1 + F.floor((n - a) / (3 + g % 8))).cast("int")
+        copies = F.array_repeat(F.slice(w, a + 1, p), F.ceil((n - a) / p).cast("int"))
+        tail = F.slice(F.flatten(copies), F.lit(1), n - a)
+        return F.when(n > 0, F.array_join(F.concat(F.slice(w, F.lit(1), a), tail), " "))
+
+    return F.when(h % 10 == 0, let(words(text), repeated)).otherwise(text)
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", planted_period(F.col("doc_id"), F.col("text")).alias("text"))
+    # longest first; of equal length the smallest start, then the smallest period
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"], -r["start"], -r["period"])))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    rows = periodic_runs.periodic_runs(docs).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), best.alias("best"),
+        F.sha2(F.concat(F.array_join(lines, "\n"), F.when(F.size("runs") > 0, "\n").otherwise("")), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+    return rows.select(
+        "doc_id", "n_runs", (-F.col("best.col2")).alias("start"), F.col("best.length").alias("length"), (-F.col("best.col3")).alias("period"),
+        F.floor(1000 * F.col("best.length") / -F.col("best.col3")).alias("exponent_milli"), "runs_sha256", "collapsed_sha256",
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_licences": op1_licences,
     "op2_simhash": op2_simhash,
@@ -67,4 +101,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": op8_token_counts,
     "op9_quality_rules": op9_quality_rules,
     "op10_pseudonyms": op10_pseudonyms,
+    "op11_periodic_runs": op11_periodic_runs,
 }
