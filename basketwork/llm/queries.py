@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketwork.llm import (
-    decontamination, html_text, licences, mixing, periodic_runs, pseudonyms, quality_rules, sharding, simhash, token_counts, toxicity,
+    decontamination, html_text, licences, mixing, periodic_runs, pseudonyms, quality_rules, sharding, simhash, token_alignment, token_counts, toxicity,
 )
 from basketwork.llm.common import let, scratch, table, words
 
@@ -90,6 +90,10 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.link_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_licences": op1_licences,
     "op2_simhash": op2_simhash,
@@ -102,4 +106,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality_rules": op9_quality_rules,
     "op10_pseudonyms": op10_pseudonyms,
     "op11_periodic_runs": op11_periodic_runs,
+    "op13_token_alignment": op13_token_alignment,
 }
