@@ -97,4 +97,17 @@ FROM rows_ LEFT JOIN rates USING (_source, _lang, _topic)
 """
 
 
-ORACLES = {"op5_sharding": SHARDING, "op6_mixing": _mixing(), "op9_quality_rules": QUALITY}
+ARCHIVE = """
+WITH payloads AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
+records AS (
+  SELECT page_id, strlen(payload)::BIGINT AS payload_bytes, sha256(payload) AS payload_digest,
+    CASE WHEN strlen(payload) >= 100 THEN min(page_id) OVER (PARTITION BY payload) END AS first
+  FROM payloads
+)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN first IS NULL OR first = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+  nullif(first, page_id)::BIGINT AS refers_to
+FROM records
+"""
+
+ORACLES = {"op5_sharding": SHARDING, "op6_mixing": _mixing(), "op9_quality_rules": QUALITY, "op12_web_archive": ARCHIVE}

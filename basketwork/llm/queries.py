@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from basketwork.llm import (
     decontamination, html_text, licences, mixing, periodic_runs, pseudonyms, quality_rules, sharding, simhash, token_alignment, token_counts, toxicity,
+    web_archive,
 )
 from basketwork.llm.common import let, scratch, table, words
 
@@ -90,6 +91,14 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_web_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Archives every page, then finds each by its URL and id in the index and reads its record back."""
+    pages, folder = table(spark, sf_dir, "pages"), scratch(spark, "web-archive")
+    _, shards = web_archive.archive(pages, folder)
+    rows = web_archive.lookup(pages.select("url", "page_id"), folder, shards, with_payload=False)
+    return rows.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_alignment.link_report(table(spark, sf_dir, "documents"))
 
@@ -106,5 +115,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality_rules": op9_quality_rules,
     "op10_pseudonyms": op10_pseudonyms,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_web_archive": op12_web_archive,
     "op13_token_alignment": op13_token_alignment,
 }
