@@ -273,6 +273,18 @@ def _partitioned_write(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _clustered_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write the fact along the curve, then read some products and some customers of it."""
+    w, path = sample_warehouse(spark, sf_dir), f"{_fresh_folder(spark)}/fact"
+    keys = {"customer_id": w.customers, "product_id": w.products}
+    tables.write_fact(w.sales, path, tables.Layout("month", slices=4), keys)
+    rows = tables.stored_fact(spark, path)
+    parts = ((rows.filter("product_id BETWEEN '10' AND '19'"), "product"), (rows.filter("customer_id BETWEEN '10' AND '19'"), "customer"))
+    return parts[0][0].select(F.lit("product").alias("filtered"), "transaction_id", F.col("amount").cast("double").alias("amount")).unionByName(
+        parts[1][0].select(F.lit("customer").alias("filtered"), "transaction_id", F.col("amount").cast("double").alias("amount"))
+    )
+
+
 def _export(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Export a report as CSV and read it back."""
     path = f"{_fresh_folder(spark)}/seasonal"
@@ -319,6 +331,7 @@ SOURCES: dict[str, Query] = {
     "s14_layer_listing": _on_raw(lambda spark, raw: lake.list_layer(spark, raw["root"], "raw")),
     "s15_s16_staging_modes": _staging_modes,
     "s18_partitioned_write": _partitioned_write,
+    "s18_clustered_read": _clustered_read,
     "s22_export": _export,
     "s23_file_freshness": _on_raw(lambda spark, raw: lake.file_freshness(spark, raw["root"], "raw")),
     "s24_ingestion_events": _ingestion_events,

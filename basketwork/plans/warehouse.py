@@ -12,7 +12,7 @@ from basketwork.operators import star
 from basketwork.operators.warehouse import Warehouse
 from basketwork.session import shared_dir
 from basketwork.sources import sample_feeds
-from basketwork.sources.tables import stored, write_dimension, write_fact
+from basketwork.sources.tables import Layout, stored, stored_fact, write_dimension, write_fact
 
 
 def build(
@@ -21,6 +21,7 @@ def build(
     as_of: dt.date | None = None,
     loaded_at: Column | None = None,
     empty_campaign_as_null: bool = False,
+    layout: Layout = Layout(),
 ) -> Warehouse:
     """Write the four tables under `path` and return them as stored.
 
@@ -40,18 +41,21 @@ def build(
     fact = star.fact_sales(
         feeds["sales_transactions"], customers, products, loaded_at, empty_campaign_as_null
     )
-    write_fact(fact, f"{path}/fact_sales_transactions")
-    return Warehouse(customers, products, campaigns, stored(spark, f"{path}/fact_sales_transactions"))
+    keys = {"customer_id": customers, "product_id": products}
+    write_fact(fact, f"{path}/fact_sales_transactions", layout, keys)
+    return Warehouse(customers, products, campaigns, stored_fact(spark, f"{path}/fact_sales_transactions"))
 
 
 def load(spark: SparkSession, path: str) -> Warehouse:
     """A warehouse written by `build`."""
     return Warehouse(
         *(stored(spark, f"{path}/{n}") for n in ("dim_customers", "dim_products", "dim_campaigns")),
-        stored(spark, f"{path}/fact_sales_transactions"),
+        stored_fact(spark, f"{path}/fact_sales_transactions"),
     )
 
 
+# The sample's days have about 200 rows and fewer, far below a file.
+SAMPLE_LAYOUT = Layout("month")
 _built: dict[tuple[str, str], Warehouse] = {}
 
 
@@ -72,5 +76,5 @@ def sample_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     if key not in _built:
         loaded_at = F.lit(dt.datetime.combine(sample_feeds.AS_OF, dt.time(6)))
         feeds = sample_feeds.all_feeds(spark, sf_dir)
-        _built[key] = build(feeds, _sample_path(spark, sf_dir), sample_feeds.AS_OF, loaded_at)
+        _built[key] = build(feeds, _sample_path(spark, sf_dir), sample_feeds.AS_OF, loaded_at, layout=SAMPLE_LAYOUT)
     return _built[key]

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from basketwork.sources.layout import DAY_COLUMN, MONTH_COLUMN, Layout, curve
+
 # The columns each warehouse table is clustered by.
 CLUSTERING = {
     "dim_customers": ["country", "registration_date"],
@@ -13,7 +17,7 @@ CLUSTERING = {
     "dim_campaigns": ["channel", "start_date"],
     "fact_sales_transactions": ["customer_id", "product_id"],
 }
-FACT, PARTITION = "fact_sales_transactions", "transaction_date"
+FACT, PARTITION = "fact_sales_transactions", DAY_COLUMN
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -45,23 +49,41 @@ def write_dimension(df: DataFrame, name: str, path: str) -> None:
     df.hint("rebalance", columns[0]).sortWithinPartitions(*columns).write.mode("overwrite").parquet(path)
 
 
-def write_fact(df: DataFrame, path: str) -> None:
-    """Replace the whole fact, one folder per day, clustered inside each file.
+def write_fact(
+    df: DataFrame, path: str, layout: Layout = Layout(), keys: Mapping[str, DataFrame] | None = None
+) -> None:
+    """Replace the whole fact: by default one folder per day, clustered inside each file (see `Layout`).
 
-    Rebalancing gathers a day's rows in few files and lets AQE split a day that is far larger
-    than the others, such as the placeholder for missing dates. Days that the new rows lack go.
+    Rebalancing gathers a folder's rows, or those of each of its slices, in few files and lets AQE split a day that
+    is far larger than the others, such as the placeholder for missing dates. Days that the new rows lack go. `keys`
+    holds the dimensions that the ranges of the curve are taken from.
     """
-    _by_day(df).option("partitionOverwriteMode", "static").parquet(path)
+    _in_folders(df, layout, keys).option("partitionOverwriteMode", "static").parquet(path)
+
+
+def replace_days(
+    df: DataFrame, path: str, layout: Layout = Layout(), keys: Mapping[str, DataFrame] | None = None
+) -> None:
+    """Replace just the folders that `df` has rows of; others stay."""
+    _in_folders(df, layout, keys).option("partitionOverwriteMode", "dynamic").parquet(path)
 
 
-def replace_days(df: DataFrame, path: str) -> None:
-    """Replace just the days that `df` has rows of; other days stay."""
-    _by_day(df).option("partitionOverwriteMode", "dynamic").parquet(path)
+def _in_folders(df: DataFrame, layout: Layout, keys: Mapping[str, DataFrame] | None):
+    rows, folder = layout.with_folder(df), layout.column
+    if layout.slices == 1:
+        spread = rows.hint("rebalance", folder).sortWithinPartitions(folder, PARTITION, *CLUSTERING[FACT])
+    else:
+        places = 1 << layout.bits * len(CLUSTERING[FACT])
+        part = F.floor(F.col("__place") * layout.slices / places).cast("int")
+        sliced = rows.withColumn("__place", curve(df, CLUSTERING[FACT], layout.bits, keys)).withColumn("__slice", part)
+        spread = sliced.hint("rebalance", folder, "__slice").sortWithinPartitions(folder, "__slice", PARTITION, "__place")
+        spread = spread.drop("__place", "__slice")
+    return spread.write.mode("overwrite").partitionBy(folder)
 
 
-def _by_day(df: DataFrame):
-    spread = df.hint("rebalance", PARTITION).sortWithinPartitions(PARTITION, *CLUSTERING[FACT])
-    return spread.write.mode("overwrite").partitionBy(PARTITION)
+def stored_fact(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """The fact in any layout, without the folder's own column."""
+    return stored(spark, path, schema).drop(MONTH_COLUMN)
 
 
 def append_rows(df: DataFrame, path: str) -> None:

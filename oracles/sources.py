@@ -49,6 +49,11 @@ UNION ALL SELECT 'products', 'overwrite', count(*) FROM stg_products""",
         """SELECT transaction_date, count(*) AS transactions, sum(amount)::DOUBLE AS revenue FROM fact GROUP BY 1""",
         "fact",
     ),
+    "s18_clustered_read": sql(
+        """SELECT 'product' AS filtered, transaction_id, amount::DOUBLE AS amount FROM fact WHERE product_id BETWEEN '10' AND '19'
+UNION ALL SELECT 'customer', transaction_id, amount::DOUBLE FROM fact WHERE customer_id BETWEEN '10' AND '19'""",
+        "fact",
+    ),
     "l13_l14_tracked_feeds": sql(
         """SELECT source_table, 'SUCCESS' AS execution_status, n AS records_processed, TRUE AS lineage_captured, 1 AS captures
 FROM (SELECT 'customers' AS source_table, count(*) AS n FROM stg_customers
