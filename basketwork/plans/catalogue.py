@@ -22,6 +22,7 @@ from basketwork.plans.warehouse import sample_path, sample_warehouse
 from basketwork.session import shared_dir
 from basketwork.sources import contracts, documents, lake, sample_feeds, tables
 from basketwork.sources.sample_feeds import AS_OF
+from basketwork.streaming import fact as fact_stream
 from basketwork.streaming import transactions as stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -317,6 +318,20 @@ def _streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.stored(spark, f"{folder}/staging").groupBy("status").agg(F.count(F.lit(1)).alias("n"))
 
 
+def _streamed_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sales in three deliveries, which share many sales, streamed into an empty fact one after the other."""
+    folder = _fresh_folder(spark)
+    sample = sample_warehouse(spark, sf_dir)
+    for name in ("dim_customers", "dim_products"):
+        tables.write_dimension(sample.tables[name], name, f"{folder}/{name}")
+    feed = sample_feeds.transactions(spark, sf_dir)
+    feed.repartitionByRange(3, F.xxhash64(*feed.columns)).write.json(f"{folder}/arrived")
+    target = fact_stream.Target(folder, f"{folder}/state", tables.Layout("month"))
+    sales = fact_stream.arrivals(spark, f"{folder}/arrived", files_per_batch=1)
+    fact_stream.stream_into_fact(sales, target, f"{folder}/progress").awaitTermination()
+    return _show(tables.stored_fact(spark, target.fact))
+
+
 SOURCES: dict[str, Query] = {
     "s1_latest_csv": _on_raw(lambda spark, raw: _customer_rows(spark, raw).drop("source_file")),
     "s2_api_pages": _on_raw(
@@ -374,6 +389,7 @@ MONITORING: dict[str, Query] = {
     "d9_quarantine": _quarantined,
     "d10_daily_sales": _stored_rollup,
     "d11_streamed_sales": _streamed,
+    "d11_streamed_fact": _streamed_fact,
     "d12_expected_records": lambda spark, d: monitoring.expected_records(sample_feeds.all_feeds(spark, d)),
 }
 

@@ -96,6 +96,24 @@ def stored(spark: SparkSession, path: str, schema: T.StructType | None = None) -
     return reader.parquet(path)
 
 
+def stored_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A stored table, or no rows if nothing has been written to its folder yet."""
+    from pyspark.errors import AnalysisException
+
+    try:
+        return stored(spark, path, schema)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Remove one partition folder of a stored table, on any file system Spark knows."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
+
+
 def export_csv(df: DataFrame, path: str, limit: int | None = None) -> int:
     """Write a report as CSV with header and return its row count."""
     from pyspark.sql import Observation

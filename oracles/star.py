@@ -31,4 +31,5 @@ ORACLES = {
     "t3_dim_campaigns": _CAMPAIGNS,
     "t4_fact_sales": _FACT,
     "t4_fk_flags": _FLAGS,
+    "d11_streamed_fact": _FACT,
 }
