@@ -388,19 +388,22 @@ def executive_summary(w: Warehouse, as_of: dt.date) -> DataFrame:
     sales = w.attach(sales, "dim_campaigns", {"status": "campaign_status"})
     campaign = F.when(F.col("campaign_status").isNotNull() & (F.col("campaign_id") != "NO_CAMPAIGN"), F.col("campaign_id"))
     recent = F.col("transaction_date") >= F.date_sub(F.lit(as_of), RECENT_DAYS)
-    # each distinct count is a group and a count of its own: several in one aggregate would
-    # repeat every sale once per count
-    distinct = lambda key: sales.select(key.alias("key")).filter("key IS NOT NULL").distinct().agg(F.count("key")).scalar()
-    per_customer = sales.select("customer_id", "amount", F.when(recent, F.col("amount")).alias("recent")).groupBy("customer_id").agg(
-        _n().alias("n"), _revenue().alias("revenue"), F.count("recent").alias("recent_n"), F.sum("recent").alias("recent_revenue")
+    # one pass over the sales: they are reduced to customer, product and campaign, and every key is counted there
+    reduced = checkpointed(
+        sales.select("customer_id", "product_id", campaign.alias("campaign"), "amount", F.when(recent, F.col("amount")).alias("recent"))
+        .groupBy("customer_id", "product_id", "campaign")
+        .agg(_n().alias("n"), _revenue().alias("revenue"), F.count("recent").alias("recent_n"), F.sum("recent").alias("recent_revenue"))
     )
+    distinct = lambda key: reduced.select(key).filter(f"{key} IS NOT NULL").distinct().agg(F.count(key)).scalar()
+    sums = ("n", "revenue", "recent_n", "recent_revenue")
+    per_customer = reduced.groupBy("customer_id").agg(*[F.sum(x).alias(x) for x in sums])
     figures = per_customer.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("n"),
         F.sum("revenue").alias("revenue"),
         F.count("customer_id").alias("customers"),
         F.coalesce(F.sum("recent_n"), F.lit(0)).alias("recent_n"),
         F.coalesce(F.sum("recent_revenue"), F.lit(0)).alias("recent_revenue"),
-    ).withColumns({"products": distinct(F.col("product_id")), "campaigns": distinct(campaign)})
+    ).withColumns({"products": distinct("product_id"), "campaigns": distinct("campaign")})
     c = F.col
     return figures.select(
         F.lit(SUMMARY_TITLE).alias("metric_category"),

@@ -11,7 +11,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -108,6 +109,18 @@ def matched_counts(rows: DataFrame, dim: DataFrame, key: str) -> DataFrame:
     return left.join(right, key, "full_outer")
 
 
+def matched_keys(rows: DataFrame, dims: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
+    """`matched_counts` of several foreign keys in one pass over `rows`: a line per `dimension` and key value.
+
+    Each row becomes one narrow row per key, which is counted on the map side.
+    """
+    tagged = F.array(*[F.struct(F.lit(name).alias("dimension"), F.col(key).cast("string").alias("key")) for name, (_, key) in dims.items()])
+    left = rows.select(F.inline(tagged)).groupBy("dimension", "key").agg(F.count(F.lit(1)).alias("n_rows"))
+    keys = [df.select(F.lit(name).alias("dimension"), F.col(key).cast("string").alias("key")) for name, (df, key) in dims.items()]
+    right = reduce(DataFrame.unionByName, keys).groupBy("dimension", "key").agg(F.count(F.lit(1)).alias("n_dim"))
+    return left.join(right, ["dimension", "key"], "full_outer")
+
+
 def first_per_key(df: DataFrame, key: str, order: Sequence) -> DataFrame:
     """The first row of each key in a total order.
 
@@ -116,3 +129,20 @@ def first_per_key(df: DataFrame, key: str, order: Sequence) -> DataFrame:
     """
     rank = F.row_number().over(Window.partitionBy(key).orderBy(*order))
     return df.withColumn("__rank", rank).filter(F.col("__rank") == 1).drop("__rank")
+
+
+def last_before(rows: DataFrame, day: str, snapshots: DataFrame, taken: str) -> DataFrame:
+    """As-of join: each row with the columns of the last snapshot taken before its day, null where there is none.
+
+    `snapshots` has at most one row per day. A snapshot holds from the day after it to the next one's day; these spans
+    meet the rows on the months they touch, so the join is an equality on months, and the calendar bounds the spans.
+    """
+    order = Window.orderBy(taken)  # one row per day
+    spans = snapshots.withColumn("__until", F.coalesce(F.lead(taken).over(order), F.lit("9999-12-31").cast("date")))
+    last = rows.select(F.max(day)).scalar()
+    ends = F.least("__until", F.greatest(last, F.col(taken)))
+    months = F.explode(F.sequence(F.trunc(taken, "MM"), F.trunc(ends, "MM"), F.expr("interval 1 month")))
+    touched = spans.withColumn("__month", months)
+    left = rows.withColumn("__month", F.trunc(day, "MM"))
+    held = (left["__month"] == touched["__month"]) & (F.col(taken) < F.col(day)) & (F.col(day) <= F.col("__until"))
+    return left.join(touched, held, "left").drop("__month", "__until")

@@ -15,6 +15,7 @@ from basketwork import schemas
 from basketwork.functions.numbers import count_if, first_match
 from basketwork.operators.joins import attach, column_bytes
 from basketwork.operators.lineage_seeds import RELATIONSHIPS, SOURCES, TARGETS, TRANSFORMATIONS
+from basketwork.session import checkpointed
 from basketwork.sources.tables import small_table
 
 # Limits and labels of the lineage reports.
@@ -234,6 +235,37 @@ def edges(lineage: Lineage, top: int | None = 10) -> DataFrame:
     )
 
 
+def reach(edges: DataFrame, max_depth: int = 20) -> DataFrame:
+    """source_id, target_id, depth: what each entry reaches over any number of edges, and the fewest it takes.
+
+    `edges` holds source_id and target_id; repeated edges count once. A path never comes back to an entry it has
+    passed, so cycles end, and entries do not reach themselves. Paths of over `max_depth` edges are not followed.
+    """
+    distinct = edges.select("source_id", "target_id").filter("source_id <> target_id").distinct()
+    return edges.sparkSession.sql(
+        """
+WITH RECURSIVE step(source_id, target_id, depth, passed) AS (
+  SELECT source_id, target_id, 1, array(source_id, target_id) FROM {edges}
+  UNION ALL
+  SELECT step.source_id, next.target_id, depth + 1, array_append(passed, next.target_id)
+  FROM step JOIN {edges} AS next ON step.target_id = next.source_id
+  WHERE depth < {max_depth} AND NOT array_contains(passed, next.target_id)
+)
+SELECT source_id, target_id, min(depth) AS depth FROM step GROUP BY ALL""",
+        edges=checkpointed(distinct), max_depth=max_depth,
+    )
+
+
+def lineage_reach(lineage: Lineage, max_depth: int = 20) -> DataFrame:
+    """L7 over any depth: named entries that each source or target feeds, directly or through others."""
+    entries = lineage.sources.select("source_id", "source_name").unionByName(
+        lineage.targets.select(F.col("target_id").alias("source_id"), F.col("target_name").alias("source_name"))
+    )
+    found = reach(lineage.active(), max_depth)
+    ends = entries.select(F.col("source_id").alias("target_id"), F.col("source_name").alias("target_name"))
+    return found.join(entries, "source_id").join(ends, "target_id").select("source_name", "target_name", "depth")
+
+
 VIEWS: Mapping[str, Callable[[Lineage], DataFrame]] = {
     "v_complete_lineage": complete_lineage,
     "v_field_lineage": field_lineage,

@@ -19,10 +19,10 @@ from basketwork.operators.lineage import FAILED, RUNNING, executions
 from basketwork.operators.quality import (
     COMPLETENESS, FOREIGN_KEYS, FRESHNESS, UNIQUENESS, VOLUME, column_completeness,
 )
-from basketwork.operators.joins import attach, column_bytes
+from basketwork.operators.joins import attach, column_bytes, last_before
 from basketwork.operators.warehouse import Warehouse
 from basketwork.session import checkpointed
-from basketwork.sources.tables import small_table
+from basketwork.sources.tables import append_rows, small_table, stored_or_empty
 
 # Documented limits.
 DAILY_SALES = (50, 500)
@@ -167,6 +167,34 @@ def catalogue_change(w: Warehouse, previous_count: int, limit_pct: float = CATAL
     )
 
 
+def known_products(w: Warehouse) -> DataFrame:
+    """day, product_count: products sold up to and including each day on which one is sold for the first time."""
+    first = w.sales.groupBy("product_id").agg(F.min("transaction_date").alias("day"))
+    new = first.groupBy("day").agg(F.count(F.lit(1)).alias("n"))
+    so_far = Window.orderBy("day").rowsBetween(Window.unboundedPreceding, Window.currentRow)  # a row per day
+    return new.select("day", F.sum("n").over(so_far).alias("product_count"))
+
+
+def take_snapshots(counts: DataFrame, path: str) -> None:
+    """Append the catalogue's count of given days (day, product_count) to the stored snapshots.
+
+    Days that have a snapshot keep it.
+    """
+    there = stored_or_empty(counts.sparkSession, path, counts.schema)
+    append_rows(counts.join(checkpointed(there.select("day")), "day", "left_anti"), path)
+
+
+def change_since_snapshot(counts: DataFrame, snapshots: DataFrame, limit_pct: float = CATALOGUE_CHANGE_PCT) -> DataFrame:
+    """Each day's product count against the last snapshot stored before that day; NO_SNAPSHOT without one."""
+    taken = snapshots.select(F.col("day").alias("snapshot_day"), F.col("product_count").alias("previous_count"))
+    compared = last_before(counts, "day", taken, "snapshot_day")
+    change = percent(F.col("product_count") - F.col("previous_count"), F.col("previous_count"))
+    rules = [(F.col("snapshot_day").isNull(), "NO_SNAPSHOT"), (F.abs(change) <= limit_pct, "NORMAL")]
+    return compared.select(
+        "day", "product_count", "snapshot_day", "previous_count", change.alias("change_pct"), first_match(rules, "ANOMALY").alias("status")
+    )
+
+
 def completeness_limits(w: Warehouse, limits: Mapping[str, tuple[float, list[str]]] = COMPLETENESS_LIMITS) -> DataFrame:
     """Filled share of named columns against the limit of their table."""
     rows = []

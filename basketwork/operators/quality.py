@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketwork.functions.numbers import count_if, first_match, percent
-from basketwork.operators.joins import matched_counts
+from basketwork.operators.joins import matched_keys
 from basketwork.operators.warehouse import KEYS, Warehouse
 from basketwork.session import checkpointed
 from basketwork.sources.tables import small_table
@@ -184,41 +184,39 @@ def column_completeness(df: DataFrame, name: str, columns: Sequence[str]) -> Dat
 def integrity_counts(w: Warehouse, per_dimension: bool = False) -> DataFrame:
     """Rows, orphans and share for the three foreign keys, in both directions.
 
-    Each key is counted on both sides before the join, so the join sees one row
-    per key. A utilisation row counts joined rows: every sale of a used
+    One pass over the sales counts all three keys before they meet the dimensions, so the
+    join sees one row per key. A utilisation row counts joined rows: every sale of a used
     dimension row and one for each unused row; `per_dimension` counts dimension
     rows instead.
     """
-    rows = []
-    for name in ("dim_customers", "dim_products", "dim_campaigns"):
-        pairs = matched_counts(w.sales, w.tables[name], KEYS[name])
-        facts, dims = F.col("n_rows"), F.col("n_dim")
-        totals = pairs.agg(
-            F.coalesce(F.sum(facts * F.coalesce(dims, F.lit(1))), F.lit(0)).alias("fact_total"),
-            F.coalesce(F.sum(F.when(dims.isNull(), facts)), F.lit(0)).alias("fact_orphans"),
-            F.coalesce(
-                F.sum(dims if per_dimension else dims * F.coalesce(facts, F.lit(1))), F.lit(0)
-            ).alias("dim_total"),
-            F.coalesce(F.sum(F.when(facts.isNull(), dims)), F.lit(0)).alias("dim_orphans"),
-        )
-        labels = (
-            (FACT_PREFIX + name, FOREIGN_KEYS, "fact_total", "fact_orphans"),
-            (name + ORPHAN_SUFFIX, UTILISATION, "dim_total", "dim_orphans"),
-        )
-        both = F.array(
-            *[
-                F.struct(
-                    F.lit(label).alias("relationship_name"),
-                    F.col(total).alias("total_records"),
-                    F.col(orphans).alias("orphaned_records"),
-                    percent(F.col(total) - F.col(orphans), F.col(total)).alias("percentage"),
-                    F.lit(check).alias("check_type"),
-                )
-                for label, check, total, orphans in labels
-            ]
-        )
-        rows.append(totals.select(F.inline(both)))
-    return _union(rows)
+    names = ("dim_customers", "dim_products", "dim_campaigns")
+    pairs = matched_keys(w.sales, {name: (w.tables[name], KEYS[name]) for name in names})
+    facts, dims = F.col("n_rows"), F.col("n_dim")
+    totals = pairs.groupBy("dimension").agg(
+        F.sum(facts * F.coalesce(dims, F.lit(1))).alias("fact_total"),
+        F.sum(F.when(dims.isNull(), facts)).alias("fact_orphans"),
+        F.sum(dims if per_dimension else dims * F.coalesce(facts, F.lit(1))).alias("dim_total"),
+        F.sum(F.when(facts.isNull(), dims)).alias("dim_orphans"),
+    )
+    listed = small_table(w.sales.sparkSession, [(name,) for name in names], ["dimension"])
+    figures = listed.join(totals, "dimension", "left").na.fill(0)
+    labels = (
+        (F.concat(F.lit(FACT_PREFIX), "dimension"), FOREIGN_KEYS, "fact_total", "fact_orphans"),
+        (F.concat("dimension", F.lit(ORPHAN_SUFFIX)), UTILISATION, "dim_total", "dim_orphans"),
+    )
+    both = F.array(
+        *[
+            F.struct(
+                label.alias("relationship_name"),
+                F.col(total).alias("total_records"),
+                F.col(orphans).alias("orphaned_records"),
+                percent(F.col(total) - F.col(orphans), F.col(total)).alias("percentage"),
+                F.lit(check).alias("check_type"),
+            )
+            for label, check, total, orphans in labels
+        ]
+    )
+    return figures.select(F.inline(both))
 
 
 def integrity(w: Warehouse, as_of: dt.datetime | None = None, per_dimension: bool = False) -> DataFrame:

@@ -18,6 +18,7 @@ from basketwork.operators.analytics import DIRECT, by_country_category_channel,
 from basketwork.operators.joins import matched_counts
 from basketwork.operators.star import NO_CAMPAIGN
 from basketwork.operators.warehouse import KEYS, Warehouse
+from basketwork.sources.registry import missing
 
 # Date limits and sizes of the validation reports.
 REPORT_SINCE = dt.date(2024, 1, 1)
@@ -292,6 +293,23 @@ def require_folders(spark: SparkSession, folders: list[str]) -> None:
         raise GateError(f"required data not found: {', '.join(missing)}")
 
 
+def existence(spark: SparkSession, names: list[str]) -> DataFrame:
+    """table_name, table_exists and record_count (null for what is missing) of catalogue entries."""
+    absent = missing(spark, names)
+    rows = [
+        spark.table(name).agg(F.count(F.lit(1)).alias("record_count")).select(F.lit(name.split(".")[-1]).alias("table_name"), F.lit(True).alias("table_exists"), "record_count")
+        for name in names if name not in absent
+    ]
+    gone = [(name.split(".")[-1], False, None) for name in absent]
+    return reduce(DataFrame.unionByName, [*rows, spark.createDataFrame(gone, "table_name string, table_exists boolean, record_count long")])
+
+
+def require_tables(spark: SparkSession, names: list[str]) -> None:
+    """Every name is a table or view of the catalogue, else raise."""
+    if absent := missing(spark, names):
+        raise GateError(f"required tables not found: {', '.join(absent)}")
+
+
 def require_rows(tables: Mapping[str, DataFrame]) -> dict[str, int]:
     """Counts per table; raises when a table is unreadable or all are empty."""
     try:

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from basketwork import schemas
 from basketwork.operators import analytics, lineage, monitoring, quality, star, validation
 from basketwork.plans import pipeline
+from basketwork.plans.features import FEATURES
 from basketwork.plans import warehouse as warehouses
 from basketwork.plans.landing import landed_feeds
 from basketwork.plans.warehouse import sample_path, sample_warehouse
@@ -395,4 +396,4 @@ MONITORING: dict[str, Query] = {
 
 
 def all_queries() -> dict[str, Query]:
-    return {**STAR, **ANALYTICS, **QUALITY, **VALIDATION, **LINEAGE, **SOURCES, **MONITORING}
+    return {**STAR, **ANALYTICS, **QUALITY, **VALIDATION, **LINEAGE, **SOURCES, **MONITORING, **FEATURES}

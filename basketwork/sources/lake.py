@@ -22,7 +22,7 @@ CUSTOMER_PREFIX = "synthetic_customers_"
 KEEP_MARKER = ".keep"
 MAX_AGE_HOURS = 24
 
-_CSV = {
+CSV_OPTIONS = {
     "header": True, "escape": '"', "multiLine": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False,
     "timestampFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS",
 }
@@ -63,9 +63,9 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     Columns the schema does not know stay text, columns the file lacks are
     absent, so the contract check sees the file as delivered.
     """
-    header = spark.read.options(**_CSV).csv(path).columns
+    header = spark.read.options(**CSV_OPTIONS).csv(path).columns
     text = T.StructType([T.StructField(name, T.StringType()) for name in header])
-    rows = spark.read.options(**_CSV).schema(text).csv(path)
+    rows = spark.read.options(**CSV_OPTIONS).schema(text).csv(path)
     kinds = {field.name: field.dataType for field in schema.fields}
     return rows.select(
         *[F.col(name).try_cast(kinds[name]).alias(name) if name in kinds else F.col(name) for name in header]
@@ -85,7 +85,7 @@ def drop_path(lake: str, layer: str, name: str, at: dt.datetime, kind: str) -> s
 def write_csv(df: DataFrame, lake: str, layer: str, name: str, at: dt.datetime) -> str:
     """A CSV drop with header; returns its path."""
     path = drop_path(lake, layer, name, at, "csv")
-    df.write.options(**_CSV).csv(path)
+    df.write.options(**CSV_OPTIONS).csv(path)
     return path
 
 

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import datetime as dt
+from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -108,6 +109,12 @@ def stored_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> Dat
         return spark.createDataFrame([], schema)
 
 
+def one_of(column: str, values: Iterable) -> Column:
+    """Whether a date or text column has one of some values; as text, since each literal costs a call."""
+    shown = [f"DATE'{v}'" if isinstance(v, dt.date) else "'" + str(v).replace("'", "\\'") + "'" for v in values]
+    return F.expr(f"{column} IN ({', '.join(shown)})") if shown else F.lit(False)
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     """Remove one partition folder of a stored table, on any file system Spark knows."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)

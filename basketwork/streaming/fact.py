@@ -84,7 +84,7 @@ def merge_batch(batch: DataFrame, batch_id: int, target: Target) -> None:
     customers, products = (tables.stored(spark, f"{target.warehouse}/{n}") for n in ("dim_customers", "dim_products"))
     rows = star.fact_sales(versions.drop("batch_id"), customers, products, target.loaded_at, target.empty_campaign_as_null)
     schema = target.layout.with_folder(rows).schema
-    there = tables.stored_or_empty(spark, target.fact, schema).filter(F.col(column).isin(touched))
+    there = tables.stored_or_empty(spark, target.fact, schema).filter(tables.one_of(column, touched))
     ours = versions.filter(F.col("batch_id") == batch_id).select("transaction_id")
     kept = there.select(*rows.columns).join(ours, "transaction_id", "left_anti").select(*rows.columns)
     seen = Observation()
