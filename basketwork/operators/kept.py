@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketwork.operators.joins import attach, column_bytes
@@ -70,10 +70,10 @@ def _replaced(spark: SparkSession, kept: Kept, name: str, new: DataFrame, days:
     """Write the months of `days` again: other days as they are, these as in `new`."""
     months = sorted({f"{d:%Y-%m}" for d in days})
     there = kept.read(spark, name).filter(tables.one_of(FOLDER, months) & ~tables.one_of("day", days))
-    seen, path = Observation(), f"{kept.path}/{name}"
-    both = there.unionByName(new).observe(seen, F.collect_set(FOLDER).alias("months"))
+    both, path = there.unionByName(checkpointed(new)), f"{kept.path}/{name}"
+    filled = {r[0] for r in both.select(FOLDER).distinct().collect()}
     both.hint("rebalance", FOLDER).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(FOLDER).parquet(path)
-    for month in set(months) - set(seen.get["months"]):
+    for month in set(months) - filled:
         tables.remove_folder(spark, f"{path}/{FOLDER}={month}")
 
 

@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -87,10 +87,10 @@ def merge_batch(batch: DataFrame, batch_id: int, target: Target) -> None:
     there = tables.stored_or_empty(spark, target.fact, schema).filter(tables.one_of(column, touched))
     ours = versions.filter(F.col("batch_id") == batch_id).select("transaction_id")
     kept = there.select(*rows.columns).join(ours, "transaction_id", "left_anti").select(*rows.columns)
-    seen = Observation()
-    both = kept.unionByName(rows).observe(seen, F.collect_set(_folder(target).cast("string")).alias("folders"))
+    both = kept.unionByName(rows)
+    filled = {str(r[0]) for r in both.select(_folder(target)).distinct().collect()}
     tables.replace_days(both, target.fact, target.layout, {"customer_id": customers, "product_id": products})
-    for folder in {str(value) for value in touched} - set(seen.get["folders"]):
+    for folder in {str(value) for value in touched} - filled:
         tables.remove_folder(spark, f"{target.fact}/{column}={folder}")
 
 
