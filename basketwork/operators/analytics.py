@@ -388,22 +388,26 @@ def executive_summary(w: Warehouse, as_of: dt.date) -> DataFrame:
     sales = w.attach(sales, "dim_campaigns", {"status": "campaign_status"})
     campaign = F.when(F.col("campaign_status").isNotNull() & (F.col("campaign_id") != "NO_CAMPAIGN"), F.col("campaign_id"))
     recent = F.col("transaction_date") >= F.date_sub(F.lit(as_of), RECENT_DAYS)
-    # one pass over the sales: they are reduced to customer, product and campaign, and every key is counted there
-    reduced = checkpointed(
-        sales.select("customer_id", "product_id", campaign.alias("campaign"), "amount", F.when(recent, F.col("amount")).alias("recent"))
-        .groupBy("customer_id", "product_id", "campaign")
-        .agg(_n().alias("n"), _revenue().alias("revenue"), F.count("recent").alias("recent_n"), F.sum("recent").alias("recent_revenue"))
+    # one pass over the sales: each is one narrow row per key, combined on the map side to a row per key and task, so
+    # only distinct keys are shuffled; the money goes with the customer
+    money, none = F.col("amount"), F.lit(None).cast("decimal(18,2)")
+    newest = F.when(recent, money)
+    tagged = F.array(
+        F.struct(F.lit("customer").alias("kind"), F.col("customer_id").alias("key"), money.alias("amount"), newest.alias("recent")),
+        F.struct(F.lit("product").alias("kind"), F.col("product_id").alias("key"), none.alias("amount"), none.alias("recent")),
+        F.struct(F.lit("campaign").alias("kind"), campaign.alias("key"), none.alias("amount"), none.alias("recent")),
     )
-    distinct = lambda key: reduced.select(key).filter(f"{key} IS NOT NULL").distinct().agg(F.count(key)).scalar()
-    sums = ("n", "revenue", "recent_n", "recent_revenue")
-    per_customer = reduced.groupBy("customer_id").agg(*[F.sum(x).alias(x) for x in sums])
-    figures = per_customer.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("n"),
+    keys = sales.select(F.inline(tagged)).filter("key IS NOT NULL").groupBy("kind", "key").agg(
+        _n().alias("n"), _revenue().alias("revenue"), F.count("recent").alias("recent_n"), F.sum("recent").alias("recent_revenue")
+    )
+    of = lambda kind, value: F.when(F.col("kind") == kind, value)
+    figures = keys.agg(
+        F.coalesce(F.sum(of("customer", F.col("n"))), F.lit(0)).alias("n"),
         F.sum("revenue").alias("revenue"),
-        F.count("customer_id").alias("customers"),
         F.coalesce(F.sum("recent_n"), F.lit(0)).alias("recent_n"),
         F.coalesce(F.sum("recent_revenue"), F.lit(0)).alias("recent_revenue"),
-    ).withColumns({"products": distinct("product_id"), "campaigns": distinct("campaign")})
+        *[F.count(of(kind, F.lit(1))).alias(f"{kind}s") for kind in ("customer", "product", "campaign")],
+    )
     c = F.col
     return figures.select(
         F.lit(SUMMARY_TITLE).alias("metric_category"),
