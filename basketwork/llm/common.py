@@ -39,6 +39,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def carried(docs: DataFrame, **columns: Column) -> DataFrame:
+    """Each row of `docs` as one struct, `_row`, beside columns of the operator's own: no name can clash."""
+    return docs.select(F.struct("*").alias("_row"), *(c.alias(name) for name, c in columns.items()))
+
+
+def restored(rows: DataFrame, docs: DataFrame, **results: Column) -> DataFrame:
+    """The columns of `docs` again, and `results`, which replace columns of their names."""
+    names = [*docs.columns, *(n for n in results if n not in docs.columns)]
+    return rows.select(*(results.get(n, F.col("_row")[n]).alias(n) for n in names))
+
+
 def let(value: Column, body) -> Column:
     """`body(value)` with `value` computed once, whatever the optimizer collapses."""
     return F.transform(F.array(value), body)[0]

@@ -3,16 +3,21 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from basketwork.llm.common import carried, restored
+
 SIMILARITY = 0.8
-MIN_WORDS = 5
+# Items of fewer words are found through pieces: an item cut into one piece more than it may have edits keeps one whole.
+SHORT_WORDS = 12
 BLOCK_ITEMS = 20_000
 CHUNK_WORDS = 150_000
 # Bit samples of the embedding: embedding, steps of its random walk, sampled steps. A walk of 8
@@ -101,7 +106,7 @@ class Matcher:
     def __init__(self, items: list[tuple[object, str | None]], similarity: float = SIMILARITY):
         self.similarity = similarity
         listed = [Item(i, words_of(t)) for i, t in items]
-        self.items = [x for x in listed if len(x.words) >= MIN_WORDS]
+        self.items = [x for x in listed if x.words]
         self.vocabulary = {w: n for n, w in enumerate(sorted({w for x in self.items for w in x.words}), 1)}
         self.end = len(self.vocabulary) + 1
         random = np.random.default_rng(SEED)
@@ -115,8 +120,10 @@ class Matcher:
     def _index(self) -> None:
         """Keys of every window of the items, whole or begun at a later word, table by table."""
         gap = [self.end] * self.longest
-        flat, item, offset = [], [], []
+        flat, item, offset = [self.end], [-1], [-1]
         for n, x in enumerate(self.items):
+            if len(x.words) < SHORT_WORDS:
+                continue
             flat += [self.vocabulary[w] for w in x.words] + gap
             item += [n] * len(x.words) + [-1] * self.longest
             offset += [*range(len(x.words)), *([-1] * self.longest)]
@@ -130,6 +137,40 @@ class Matcher:
             bitmap = np.zeros(1 << _BITMAP_BITS, dtype=bool)
             bitmap[(key & np.uint64((1 << _BITMAP_BITS) - 1)).astype(np.int64)] = True
             self.tables.append((key, item[at], offset[at], bitmap))
+        self._index_pieces()
+
+    def _index_pieces(self) -> None:
+        """Short items cut evenly into one piece more than their budget: sorted keys of all pieces by size."""
+        pieces: dict[int, list[tuple[int, int, int]]] = {}
+        for n, x in enumerate(self.items):
+            if len(x.words) < SHORT_WORDS:
+                parts = budget(len(x.words), self.similarity) + 1
+                cuts = [len(x.words) * i // parts for i in range(parts + 1)]
+                for low, high in zip(cuts, cuts[1:]):
+                    ids = np.array([self.vocabulary[w] for w in x.words[low:high]], np.int32)
+                    pieces.setdefault(high - low, []).append((int(self._piece_keys(ids, np.zeros(1, np.int64), high - low)[0]), n, low))
+        self.pieces = []
+        for size, rows in pieces.items():
+            rows.sort()
+            key, item, offset = (np.array(c, t) for c, t in zip(zip(*rows), (np.uint64, np.int64, np.int64)))
+            bitmap = np.zeros(1 << _BITMAP_BITS, dtype=bool)
+            bitmap[(key & np.uint64((1 << _BITMAP_BITS) - 1)).astype(np.int64)] = True
+            self.pieces.append((size, (key, item, offset, bitmap)))
+
+    def _piece_keys(self, ids: np.ndarray, starts: np.ndarray, size: int) -> np.ndarray:
+        return _keys([ids[starts + i] for i in range(size)], np.arange(size), self.factors[0])
+
+    def _lookups(self, ids: np.ndarray, starts: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, tuple]]:
+        """Keys of the windows at `starts`, which of them can match, and the table to look them up in."""
+        if self.tables and len(self.tables[0][0]):
+            for n, key, valid in self._table_keys(ids, starts):
+                yield key, valid, self.tables[n]
+        for size, table in self.pieces:
+            # a text ends with more marks than a piece has words
+            key, valid = self._piece_keys(ids, starts, size), np.ones(len(starts), bool)
+            for i in range(1, size):
+                valid &= (ids[starts + i] > 0) & (ids[starts + i] < self.end)
+            yield key, valid, table
 
     def _table_keys(self, ids: np.ndarray, starts: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """Per table: keys of the windows, and which can match.
@@ -152,8 +193,7 @@ class Matcher:
         """Distinct rows (item, place of the item's first word in `ids`) whose windows share a key."""
         starts = np.flatnonzero((ids > 0) & (ids < self.end)).astype(np.int32)
         found = [np.empty((0, 2), np.int64)]
-        for n, key, valid in self._table_keys(ids, starts):
-            keys, item, offset, bitmap = self.tables[n]
+        for key, valid, (keys, item, offset, bitmap) in self._lookups(ids, starts):
             hit = np.flatnonzero(valid & bitmap[(key & np.uint64((1 << _BITMAP_BITS) - 1)).astype(np.int64)])
             low, high = np.searchsorted(keys, key[hit], "left"), np.searchsorted(keys, key[hit], "right")
             count = high - low
@@ -205,9 +245,14 @@ class Matcher:
 
 
 def _spans(text: str, first: int, end: int) -> tuple[int, int]:
-    """Characters of a text from the word `first` up to the word `end`; of its lower case where that is longer."""
-    at = [m.span() for m in _WORD.finditer(text.lower())]
-    return at[first][0], at[end - 1][1]
+    """Characters of a text from the word `first` up to the word `end`."""
+    lower = text.lower()
+    at = [m.span() for m in _WORD.finditer(lower)]
+    low, high = at[first][0], at[end - 1][1]
+    if len(lower) != len(text):  # a few capitals are two characters in lower case
+        ends = list(accumulate(len(c.lower()) for c in text))
+        low, high = bisect_right(ends, low), bisect_left(ends, high) + 1
+    return low, high
 
 
 FOUND = "doc_id long, item long, distance int, n_words int, start int, end int"
@@ -234,7 +279,7 @@ def _sieve(items: list, similarity: float):
         matcher = Matcher(items, similarity)
         for batch in batches:
             clean = [not found for found in matcher.matches(batch["_text"].to_pylist())]
-            yield batch.filter(pa.array(clean, pa.bool_())).drop_columns(["_text"])
+            yield batch.filter(pa.array(clean, pa.bool_()))
 
     return run
 
@@ -253,8 +298,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMI
     A document holds an item if some run of its words is within (1 - `similarity`) of the item's
     words in word edits; distance, and start and end in characters, are of the best run found.
     Windows at every word of whole documents are embedded by CGK random walks and meet the items'
-    windows in LSH tables; each meeting is verified by exact edit distance. Items of under five
-    words are not searched. Null and empty texts hold nothing. Repeated rows give repeated
+    windows in LSH tables; each meeting is verified by exact edit distance. Items of under
+    `SHORT_WORDS` words, too short for the walks, are found without loss through their pieces; those
+    of under five words may have no edit. Items without words are not searched. Null and empty texts hold nothing. Repeated rows give repeated
     results; a null doc_id is carried. Other columns are ignored; empty tables give none. The
     benchmark is a query set that is sent to the tasks in blocks; documents are not shuffled.
     """
@@ -267,8 +313,12 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMI
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """The rows of `docs`, with all columns, that hold no item by the rule of `contaminated`."""
-    schema = docs.schema
+    """The rows of `docs`, with all columns, whatever their names, that hold no item by the rule of `contaminated`.
+
+    Null and empty texts stay, repeated rows share their fate, an empty table or benchmark drops nothing.
+    """
+    rows = carried(docs, _text=F.col("text").cast("string"))
+    schema = rows.schema
     for items in item_blocks(benchmark):
-        docs = docs.withColumn("_text", F.col("text").cast("string")).mapInArrow(_sieve(items, similarity), schema)
-    return docs
+        rows = rows.mapInArrow(_sieve(items, similarity), schema)
+    return restored(rows, docs)

@@ -66,6 +66,37 @@ def test_matches_against_brute_force(vocabulary):
     assert all(r[n][0] >= slow_distance(matcher.items[n].words, texts[k].split()) for k, r in enumerate(found) for n in r)
 
 
+@pytest.mark.parametrize("n_words", [*range(1, 13), 14, 15, 17, 20, 24, 25, 30, 40, 60])
+def test_recall_at_each_length(vocabulary, n_words):
+    """Items with random edits at the limit; all found below SHORT_WORDS, 95 % and more from there."""
+    rng, texts = random.Random(n_words), []
+    items = [(i, " ".join(rng.choices(vocabulary, k=n_words))) for i in range(120)]
+    matcher = d.Matcher(items)
+    for _, text in items:
+        middle = edited(text.split(), d.budget(n_words), rng, ["zz", "yy"])
+        texts.append(" ".join(rng.choices(vocabulary, k=20) + middle + rng.choices(vocabulary, k=20)))
+    found = matcher.matches(texts)
+    want = [i for i, t in enumerate(texts) if slow_distance(matcher.items[i].words, t.split()) <= d.budget(n_words)]
+    hits = sum(i in found[i] for i in want)
+    assert len(want) >= 110 and hits >= (1 if n_words < d.SHORT_WORDS else 0.95) * len(want)
+
+
+def test_short_items_equal_brute_force():
+    rng = random.Random(4)
+    items = [(i, " ".join(rng.choices("abcde", k=rng.randint(1, 11)))) for i in range(40)]
+    texts = [" ".join(rng.choices("abcdefg", k=rng.randint(0, 60))) for _ in range(60)]
+    matcher = d.Matcher(items)
+    want = {(k, n) for k, t in enumerate(texts) for n, x in enumerate(matcher.items) if slow_distance(x.words, t.split()) <= d.budget(len(x.words))}
+    assert {(k, n) for k, r in enumerate(matcher.matches(texts)) for n in r} == want and len(want) > 300
+
+
+def test_spans_are_of_the_text_as_it_is():
+    text = "İİ one Two İx"
+    first = d.words_of(text).index("one")
+    low, high = d._spans(text, first, first + 2)
+    assert text[low:high] == "one Two"
+
+
 def test_evenly_spread_edits(vocabulary):
     """The hardest case: as many substitutions as the budget allows, at even distances."""
     items, hits = items_of(vocabulary, 60, 9), 0
