@@ -8,12 +8,14 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basketwork.llm.common import stored, words
+from basketwork.llm.common import carried, restored, stored, words
 from basketwork.llm.sharding import BITS, hash_bits
 
 ROUNDS = 10
-# Rounds of raking within the cells' tokens, which ends early once every sum fits to TOLERANCE of all tokens.
-BOUNDED_ROUNDS, TOLERANCE = 1000, 1e-7
+# Rounds of raking within the cells' tokens, and the most that a cell's weight may exceed them by.
+BOUNDED_ROUNDS, LARGEST_FACTOR = 40, 1e6
+# Cells that may come to the driver, some 50 MB; more are refused, so rare sources must be grouped before.
+MAX_CELLS = 1_000_000
 DIMENSIONS = ("source", "lang", "topic")
 # Target shares without given weights are token shares to this power: below 1, small values gain.
 EXPONENT = 0.5
@@ -81,27 +83,25 @@ def reachable(shares: np.ndarray, supply: np.ndarray, total: float) -> np.ndarra
     return goal
 
 
-def bounded(codes: np.ndarray, tokens: np.ndarray, shares: list[np.ndarray], total: float) -> tuple[np.ndarray, list[np.ndarray]]:
+def bounded(
+    codes: np.ndarray, tokens: np.ndarray, shares: list[np.ndarray], total: float, rounds: int = BOUNDED_ROUNDS
+) -> tuple[np.ndarray, list[np.ndarray]]:
     """Expected tokens of each cell, none above its own, raked to the reachable sums; and those sums.
 
-    `codes` has each cell's value in each dimension. What the bound takes from a cell goes to
-    others of the same value. If no weights meet all sums together, the last round's stand.
+    `codes` has each cell's value in each dimension. A cell's weight is a product of one factor per value and may
+    exceed its tokens, but counts in every sum as its tokens at most, so the fit goes on with the others. If no
+    weights meet all sums together, the last round's stand.
     """
     supply = [np.bincount(c, tokens, len(s)) for c, s in zip(codes, shares)]
     total = min([total, *(t[s > 0].sum() for t, s in zip(supply, shares))])
     goals = [reachable(s, t, total) for s, t in zip(shares, supply)]
-    weight, near = tokens * (total / max(tokens.sum(), 1.0)), TOLERANCE * max(total, 1.0)
-    for _ in range(BOUNDED_ROUNDS):
+    weight = tokens.copy()
+    for _ in range(rounds):
         for code, goal in zip(codes, goals):
-            for _ in range(BOUNDED_ROUNDS):
-                sums = np.bincount(code, weight, len(goal))
-                new = np.minimum(weight * np.divide(goal, sums, out=np.zeros(len(goal)), where=sums > 0)[code], tokens)
-                done, weight = np.abs(new - weight).max(initial=0.0) <= near / 10, new
-                if done:
-                    break
-        if all(np.abs(np.bincount(c, weight, len(g)) - g).max(initial=0.0) <= near for c, g in zip(codes, goals)):
-            break
-    return weight, goals
+            sums = np.bincount(code, np.minimum(weight, tokens), len(goal))
+            factor = np.divide(goal, sums, out=np.zeros(len(goal)), where=sums > 0)
+            weight = np.minimum(weight * factor[code], tokens * LARGEST_FACTOR)
+    return np.minimum(weight, tokens), goals
 
 
 def _cells_and_targets(docs: DataFrame, weights: Mapping[str, Mapping[str, float]] | None) -> tuple[DataFrame, dict[str, DataFrame]]:
@@ -115,6 +115,8 @@ def _cells_and_targets(docs: DataFrame, weights: Mapping[str, Mapping[str, float
 
 def _fitted(cells: DataFrame, targets: Mapping[str, DataFrame], keep: float):
     """Rows of the cells, their expected tokens, and (value, target share, reachable tokens) of each dimension."""
+    if (n := cells.count()) > MAX_CELLS:
+        raise ValueError(f"{n} cells of source, language and topic, over {MAX_CELLS}: group rare sources first")
     rows = sorted(cells.collect(), key=lambda r: tuple(r[d] for d in targets))
     found = [sorted((r[0], r[1]) for r in target.collect()) for target in targets.values()]
     places = [{v: i for i, (v, _) in enumerate(pairs)} for pairs in found]
@@ -133,7 +135,7 @@ def calibrated(
     are raked within the cells' tokens: none is above 1, no document is repeated, and what a
     cell or value has too little of comes from others (`margins` tells where). Without
     `within_supply` they are raked as if cells had any number of tokens, then cut at 1.
-    The cells, not the documents, come to the driver.
+    The cells, not the documents, come to the driver: at most `MAX_CELLS`, more are refused (ValueError).
     """
     cells, targets = _cells_and_targets(docs, weights)
     if within_supply:
@@ -187,18 +189,16 @@ def mixture(
     rates = calibrated(docs, keep, weights, within_supply).drop("_tokens", "_share")
     own = F.coalesce(F.col("doc_id").cast("string"), F.col("text").cast("string"), F.lit(""))
     draw = hash_bits(F.concat(F.lit("mix:"), own)) / F.lit(float(1 << BITS))
-    rows = docs.withColumns(_features(docs) | {"_draw": draw}).join(rates, ["_source", "_lang", "_topic"], "left")
+    rows = carried(docs, **_features(docs), _draw=draw).join(rates, ["_source", "_lang", "_topic"], "left")
     rate = F.coalesce("_rate", F.lit(0.0)) * (F.col("_tokens") > 0).cast("double")
-    result = rows.withColumns({
-        "n_tokens": F.col("_tokens"), "probability": rate, "selected": F.col("_draw") < rate,
-        "topic": F.when(F.col("_topic") != "-", F.substr("_topic", F.lit(2))),
-    })
-    names = [*docs.columns, *(c for c in ("n_tokens", "topic", "probability", "selected") if c not in docs.columns)]
-    return result.select(*names)
+    return restored(
+        rows, docs, n_tokens=F.col("_tokens"), topic=F.when(F.col("_topic") != "-", F.substr("_topic", F.lit(2))),
+        probability=rate, selected=F.col("_draw") < rate,
+    )
 
 
 def sampled(docs: DataFrame, keep: float = KEEP, weights: Mapping[str, Mapping[str, float]] | None = None) -> DataFrame:
     """The selected documents of `mixture`, with the columns of `docs`."""
-    used = (c for c in ("doc_id", "text", "source", "lang", "topic") if c in docs.columns)
-    marked = mixture(docs.select(F.struct("*").alias("_row"), *used), keep, weights)
-    return marked.filter("selected").select(*(F.col("_row")[c].alias(c) for c in docs.columns))
+    used = {c: F.col(c) for c in ("doc_id", "text", "source", "lang", "topic") if c in docs.columns}
+    rows = carried(docs, **used)
+    return restored(mixture(rows, keep, weights).filter("selected"), docs)

@@ -59,23 +59,32 @@ FROM d JOIN fits USING (rid) GROUP BY rid, doc_id, n_bytes, bits
 """
 
 
-def _mixing(rounds: int = 10, keep: float = 0.5) -> str:
-    """Proportional fitting with one common table expression for each step."""
+def _mixing(rounds: int = 40, fills: int = 20, keep: float = 0.5) -> str:
+    """Proportional fitting within the cells' tokens, with one common table expression for each step."""
     dimensions = ("source", "lang", "topic")
     steps, last = [], "start"
     for i in range(rounds):
         for d in dimensions:
             name = f"w{i}_{d}"
             steps.append(
-                f"{name} AS MATERIALIZED (SELECT c.* EXCLUDE (w), w * share / sum(w) OVER (PARTITION BY c._{d}) AS w"
+                f"{name} AS MATERIALIZED (SELECT c.* EXCLUDE (w), least(w * (goal / sum(least(w, tokens)) OVER (PARTITION BY c._{d})), tokens * 1e6) AS w"
                 f" FROM {last} c JOIN target_{d} t ON c._{d} = t.v)"
             )
             last = name
-    targets = ", ".join(
-        f"target_{d} AS MATERIALIZED (SELECT v, pow(t, 0.5) / sum(pow(t, 0.5)) OVER () AS share"
-        f" FROM (SELECT _{d} AS v, sum(tokens)::DOUBLE AS t FROM cells GROUP BY 1))"
-        for d in dimensions
-    )
+    # shares of the target, then `fills` times: values that have too little are kept whole, the rest goes to the others
+    free, left = "sum(share) FILTER (WHERE NOT short) OVER ()", f"({keep} * sum(supply) OVER () - coalesce(sum(supply) FILTER (WHERE short) OVER (), 0))"
+    target_steps = []
+    for d in dimensions:
+        target_steps.append(
+            f"fill_{d}_0 AS MATERIALIZED (SELECT v, t AS supply, pow(t, 0.5) / sum(pow(t, 0.5)) OVER () AS share, FALSE AS short"
+            f" FROM (SELECT _{d} AS v, sum(tokens)::DOUBLE AS t FROM cells GROUP BY 1))"
+        )
+        for i in range(fills):
+            target_steps.append(
+                f"fill_{d}_{i + 1} AS MATERIALIZED (SELECT v, supply, share, short OR coalesce(share * ({left} / {free}) > supply, FALSE) AS short FROM fill_{d}_{i})"
+            )
+        target_steps.append(f"target_{d} AS MATERIALIZED (SELECT v, CASE WHEN short THEN supply ELSE share * ({left} / {free}) END AS goal FROM fill_{d}_{fills})")
+    targets = ", ".join(target_steps)
     return f"""
 WITH rows_ AS MATERIALIZED (
   SELECT doc_id, source, lang, coalesce('=' || source, '-') AS _source, coalesce('=' || lang, '-') AS _lang,
@@ -88,9 +97,7 @@ WITH rows_ AS MATERIALIZED (
   FROM documents
 ), cells AS MATERIALIZED (SELECT _source, _lang, _topic, sum(tokens) AS tokens FROM rows_ GROUP BY ALL HAVING sum(tokens) > 0),
 {targets}, start AS (SELECT *, tokens::DOUBLE AS w FROM cells), {", ".join(steps)},
-rates AS (
-  SELECT _source, _lang, _topic, round(least(1.0, {keep} * (sum(tokens) OVER ())::DOUBLE * w / (sum(w) OVER ()) / tokens), 6) AS rate FROM {last}
-)
+rates AS (SELECT _source, _lang, _topic, round(least(w, tokens) / tokens, 6) AS rate FROM {last})
 SELECT doc_id, source, lang, substr(_topic, 2) AS topic, tokens::BIGINT AS n_tokens,
   CASE WHEN tokens > 0 THEN rate ELSE 0 END AS probability, draw < CASE WHEN tokens > 0 THEN rate ELSE 0 END AS selected
 FROM rows_ LEFT JOIN rates USING (_source, _lang, _topic)

@@ -36,8 +36,8 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rates are raked without bounds and cut at 1, as the query's SQL has them; the pipeline rakes within supply."""
-    rows = mixing.mixture(table(spark, sf_dir, "documents"), within_supply=False)
+    """Half of the tokens, raked within what the cells hold, as in the pipeline."""
+    rows = mixing.mixture(table(spark, sf_dir, "documents"))
     return rows.select("doc_id", "source", "lang", "topic", "n_tokens", "probability", "selected")
 
 
