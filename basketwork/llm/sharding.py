@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basketwork.llm.common import stored
+from basketwork.llm.common import carried, restored, stored
 
 BITS = 60
 LIMIT_BYTES = 64 * 1024 * 1024
@@ -87,9 +87,9 @@ def sharded(docs: DataFrame, limit_bytes: int = LIMIT_BYTES) -> DataFrame:
     """`docs` with n_bytes (UTF-8 of text), shard_id and shard_depth, by `bucketed`.
 
     Hashed is doc_id, or the text where it is null. Null text has 0 bytes. All rows and columns
-    are kept; clashing shard_id, shard_depth and n_bytes are replaced; an empty table gives none.
+    are kept, whatever their names, but shard_id, shard_depth and n_bytes are replaced; an empty table gives none.
     """
     key = F.coalesce(F.col("doc_id").cast("string"), F.col("text").cast("string"), F.lit(""))
     size = F.coalesce(F.octet_length(F.col("text").cast("string")), F.lit(0)).cast("long")
-    rows = docs.drop("shard_id", "shard_depth", "n_bytes").withColumns({"n_bytes": size, "_bytes": size, "_bits": hash_bits(key)})
-    return bucketed(rows, limit_bytes)
+    rows = bucketed(carried(docs, n_bytes=size, _bytes=size, _bits=hash_bits(key)), limit_bytes)
+    return restored(rows, docs, **{c: F.col(c) for c in ("n_bytes", "shard_id", "shard_depth")})
