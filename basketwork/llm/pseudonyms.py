@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basketwork.llm.common import let
+from basketwork.llm.common import carried, let, restored
 
 ROUNDS = 8
 # Days from 1900-01-01 to 2099-12-31, as the product of the two digits that the network mixes.
@@ -242,13 +242,13 @@ def pseudonymised(docs: DataFrame, key: str) -> DataFrame:
     text = F.col("text").cast("string")
     matches = F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0))
     hinted = text.rlike(HINT)
-    rows = docs.withColumn("_found", F.when(hinted, F.transform(matches, lambda m: pseudonym(m, key))))
+    rows = carried(docs, _text=text, _found=F.when(hinted, F.transform(matches, lambda m: pseudonym(m, key))))
 
     def joined(gaps: Column) -> Column:
         pairs = F.zip_with(gaps, F.col("_found"), lambda gap, f: F.concat(gap, F.coalesce(f["value"], F.lit(""))))
         return F.array_join(pairs, "")
 
-    new = F.when(F.size("_found") > 0, joined(F.split(text, PATTERN, -1))).otherwise(text)
+    new = F.when(F.size("_found") > 0, joined(F.split("_text", PATTERN, -1))).otherwise(F.col("_text"))
     kinds = F.filter(F.transform("_found", lambda f: f["kind"]), lambda k: k.isNotNull())
     none = F.array().cast("array<string>")
-    return rows.withColumns({"text": new, "pii_kinds": F.coalesce(kinds, none)}).drop("_found")
+    return restored(rows, docs, text=new, pii_kinds=F.coalesce(kinds, none))
