@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketwork.llm.common import stored
+from basketwork.llm.common import carried, restored, stored
 from basketwork.llm.components import components
 
 SEED = 42
@@ -186,6 +186,6 @@ def without_near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 3
     first = prints.groupBy("fp").agg(F.min(row).alias("row"))
     best = first.join(_components(prints, distance), "fp").groupBy("component").agg(F.min("row").alias("row"))
     keep = best.select(F.col("row.doc_id").alias("_id"), F.col("row.digest").alias("_digest"))
-    own = docs.withColumn("_own", F.xxhash64("text"))
-    chosen = own.join(keep, F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_digest")), "left_semi")
-    return chosen.dropDuplicates(["doc_id", "_own"]).select(*docs.columns)
+    own = carried(docs, _doc=F.col("doc_id").cast("long"), _own=F.xxhash64("text"))
+    chosen = own.join(keep, F.col("_doc").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_digest")), "left_semi")
+    return restored(chosen.dropDuplicates(["_doc", "_own"]), docs)
