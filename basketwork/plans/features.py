@@ -183,6 +183,25 @@ def table_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return validation.table_listing(spark, sample_path(spark, sf_dir)).select("table_name", "row_count", (F.col("size_bytes") > 0).alias("has_bytes"))
 
 
+def layer_drops(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Drops of the raw layer by name, without their time stamps."""
+    listed = lake.list_layer(spark, landed_feeds(spark, sf_dir)["root"], "raw")
+    feed = F.regexp_extract("name", "^(.*)_[0-9]{8}_[0-9]{6}[.]", 1)
+    return listed.groupBy(feed.alias("feed")).agg(F.count(F.lit(1)).alias("drops"), F.bool_and((F.col("files") > 0) & (F.col("bytes") > 0)).alias("filled"))
+
+
+def freshness_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw layer as it is judged some hours after its newest file."""
+    root = landed_feeds(spark, sf_dir)["root"]
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(f"{root}/raw")
+    newest = files.agg(F.max("modificationTime")).first()[0]
+    out = []
+    for hours in (0, 24, 25):
+        found = lake.file_freshness(spark, root, "raw", F.lit(newest + dt.timedelta(hours=hours)))
+        out.append(found.select(F.lit(hours).alias("hours_later"), "fresh", F.round("age_hours", 6).alias("age_hours")))
+    return out[0].unionByName(out[1]).unionByName(out[2])
+
+
 def streamed_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """D11 into staging: the distinct sales that arrive, whichever of several repeats is read first."""
     folder = fresh_folder(spark)
@@ -252,6 +271,8 @@ FEATURES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "s7_enforced_contracts": enforced_contracts,
     "s8_metadata": metadata,
     "s17_created_if_absent": created_if_absent,
+    "s14_layer_drops": layer_drops,
+    "s23_freshness_limit": freshness_limit,
     "v1_table_rows": table_rows,
     "v3_schema_columns": schema_columns,
     "d11_streamed_transactions": streamed_transactions,

@@ -44,7 +44,7 @@ class Layout:
     root: str
 
     def __getattr__(self, name: str) -> str:
-        folders = {"lake", "staging", "warehouse", "quality", "lineage", "events"}
+        folders = {"lake", "staging", "warehouse", "quality", "lineage", "events", "runs"}
         if name not in folders:
             raise AttributeError(name)
         return f"{self.root}/{name}"
@@ -52,7 +52,7 @@ class Layout:
 
 @dataclass
 class Run:
-    """What a pipeline run reports."""
+    """What a pipeline run reports (G6) and appends to the table of runs."""
 
     staging_counts: dict[str, int]
     warehouse_counts: dict[str, int]
@@ -153,7 +153,8 @@ def run(
     """One full run over raw drops (`landing.land` shows their form)."""
     layout = Layout(root)
     started = dt.datetime.now()
-    tracker = lineage.Tracker(spark, layout.lineage, run_id=f"run_{at:%Y%m%d_%H%M%S}")
+    run_id = f"run_{at:%Y%m%d_%H%M%S}"
+    tracker = lineage.Tracker(spark, layout.lineage, run_id=run_id)
     for feed in schemas.FEEDS:
         with tracker.step(*STEPS[feed], source_table=feed, target_table=f"staging_area.{feed}") as step:
             step.records = ingest(spark, layout, raw, feed, at, cap)
@@ -167,10 +168,19 @@ def run(
         capture_of(tracker, step, table)
     with tracker.step("data_quality_dag", "quality_checks", "data_warehouse", "data_quality_results"):
         health = check(w, layout, at)
+    seconds = (dt.datetime.now() - started).total_seconds()
+    done = Run(staging_counts, warehouse_counts, health, seconds, tracker.errors)
+    log_run(spark, layout, done, run_id, at)
     if raise_when_unhealthy and health != "HEALTHY":
         raise validation.GateError(f"system health is {health}")
-    seconds = (dt.datetime.now() - started).total_seconds()
-    return Run(staging_counts, warehouse_counts, health, seconds, tracker.errors)
+    return done
+
+
+def log_run(spark: SparkSession, layout: Layout, done: Run, run_id: str, at: dt.datetime) -> None:
+    """One row of the run's figures in the append-only table of runs; a gate that stops a run leaves none."""
+    counts = (sum(done.staging_counts.values()), sum(done.warehouse_counts.values()))
+    row = (run_id, at, done.duration_seconds, *counts, done.health, len(done.log_errors))
+    append_rows(spark.createDataFrame([row], schemas.PIPELINE_RUNS).coalesce(1), layout.runs)
 
 
 def capture_of(tracker: lineage.Tracker, step: lineage.Step, name: str) -> None:

@@ -106,6 +106,9 @@ EXECUTION_LOG = _struct(
     records_processed=_L, execution_status=_S, start_time=_TS, end_time=_TS,
     execution_duration_seconds=_L, error_message=_S, lineage_captured=_B, created_timestamp=_TS,
 )
+PIPELINE_RUNS = _struct(
+    run_id=_S, started=_TS, duration_seconds=_D, staging_records=_L, warehouse_records=_L, health=_S, log_errors=_L,
+)
 INGESTION_EVENTS = _struct(
     timestamp=_TS, source=_S, layer=_S, status=_S, record_count=_L, error=_S,
 )

@@ -30,11 +30,25 @@ def build_session(app: str = "basketwork", master: str | None = None, **settings
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: `spark.checkpoint.dir`, else one below the warehouse's."""
+    """The folder all executors share: `spark.checkpoint.dir`, else one below the warehouse's.
+
+    On a cluster the warehouse must then lie in a store of its own: a local folder, which is what an unset warehouse
+    means, is another one on every machine, and is refused.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/shared"
+    warehouse, master = spark.conf.get("spark.sql.warehouse.dir").rstrip("/"), spark.sparkContext.master
+    if not is_shared(warehouse, master):
+        raise ValueError(f"{warehouse} is local to each machine: set spark.checkpoint.dir to a folder that all executors share")
+    return f"{warehouse}/shared"
+
+
+def is_shared(folder: str, master: str) -> bool:
+    """Whether all executors of a master see the same folder: one machine, or a file system named in the path."""
+    one_machine = master.split("[")[0] in ("local", "local-cluster")
+    scheme = folder.split(":", 1)[0] if ":" in folder else ""
+    return one_machine or scheme not in ("", "file")
 
 
 def checkpointed(df: DataFrame) -> DataFrame:

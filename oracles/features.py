@@ -193,6 +193,9 @@ UNION ALL SELECT TIMESTAMP '2001-11-05 12:00:00', 'drop of sales_transactions',
 UNION ALL SELECT 'kept', count(*) FROM stg_customers""",
         "stg_customers",
     ),
+    "s14_layer_drops": """SELECT * FROM (VALUES ('synthetic_customers', 2, TRUE), ('products', 1, TRUE),
+('marketing_campaigns', 1, TRUE), ('sales_transactions', 1, TRUE)) v(feed, drops, filled)""",
+    "s23_freshness_limit": "SELECT * FROM (VALUES (0, TRUE, 0.0::DOUBLE), (24, TRUE, 24.0::DOUBLE), (25, FALSE, 25.0::DOUBLE)) v(hours_later, fresh, age_hours)",
     "v1_table_rows": sql(
         """SELECT 'dim_customers' AS table_name, count(*) AS row_count, TRUE AS has_bytes FROM customers_dim
 UNION ALL SELECT 'dim_products', count(*), TRUE FROM products_dim

@@ -77,6 +77,21 @@ def test_missing_staging_stops_the_transform(spark, tmp_path):
         pipeline.transform(spark, pipeline.Layout(str(tmp_path)), sample_feeds.AS_OF, AT)
 
 
+def test_run_appends_its_figures(spark, finished):
+    root, run = finished
+    (row,) = spark.read.schema(schemas.PIPELINE_RUNS).parquet(pipeline.Layout(root).runs).collect()
+    assert (row.run_id, row.started, row.health, row.log_errors) == ("run_20011105_080000", AT, run.health, 0)
+    assert row.staging_records == sum(run.staging_counts.values()) and row.warehouse_records == sum(run.warehouse_counts.values())
+    assert row.duration_seconds == run.duration_seconds > 0
+
+
+def test_local_folders_are_no_shared_folders():
+    from basketwork.session import is_shared
+
+    assert is_shared("/w", "local[4]") and is_shared("file:/w", "local-cluster[2,1,1024]") and is_shared("hdfs://n/w", "yarn") and is_shared("s3a://b/w", "k8s://x")
+    assert not is_shared("/w", "yarn") and not is_shared("file:/w", "spark://host:7077")
+
+
 def test_unreadable_results_are_unknown(spark, tmp_path):
     assert pipeline.day_health(spark, pipeline.Layout(str(tmp_path)), AT.date()) == "UNKNOWN"
 
