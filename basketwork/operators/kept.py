@@ -77,15 +77,17 @@ def _replaced(spark: SparkSession, kept: Kept, name: str, new: DataFrame, days:
         tables.remove_folder(spark, f"{path}/{FOLDER}={month}")
 
 
-def refresh(sales: DataFrame, kept: Kept) -> list:
+def refresh(sales: DataFrame, kept: Kept, days: list | None = None) -> list:
     """Bring the kept tables up to the sales; returns the days that were computed again.
 
-    Days are compared by count, sum and digest; the calendar bounds their list. Bitmaps are written before the totals,
-    so a run that broke off finds the same days changed.
+    Days are compared by count, sum and digest; the calendar bounds their list. With `days`, such as those that a
+    stream has touched, only these are read and compared. Bitmaps are written before the totals, so a run that broke
+    off finds the same days changed.
     """
-    spark = sales.sparkSession
+    spark, before = sales.sparkSession, kept.read(sales.sparkSession, "totals")
+    if days is not None:
+        sales, before = sales.filter(tables.one_of("transaction_date", days)), before.filter(tables.one_of("day", days))
     now = checkpointed(daily_totals(sales))
-    before = kept.read(spark, "totals")
     equal = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in ("transactions", "revenue", "units", "digest")]
     same = equal[0] & equal[1] & equal[2] & equal[3]
     changed = now.alias("a").join(before.alias("b"), "day", "full_outer").filter(~same).select("day")

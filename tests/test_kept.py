@@ -67,6 +67,17 @@ def test_kept_months_equal_a_full_recompute(spark, tmp_path):
     assert kept.refresh(sales(spark, changed), store) == []
 
 
+def test_named_days_alone_are_read(spark, tmp_path):
+    store, rows = kept.Kept(str(tmp_path / "kept")), random_sales(5, 100)
+    kept.refresh(sales(spark, rows), store)
+    day, other = rows[0][2], next(r[2] for r in rows if r[2] != rows[0][2])
+    more = rows + [("new", "x", day, rows[0][3], 1), ("late", "y", other, rows[0][3], 1)]
+    assert kept.refresh(sales(spark, more), store, [day]) == [day]
+    assert months(spark, store) == want_months(more[:-1])
+    assert kept.refresh(sales(spark, more), store, []) == []
+    assert kept.refresh(sales(spark, more), store) == [other] and months(spark, store) == want_months(more)
+
+
 def test_a_month_without_sales_goes(spark, tmp_path):
     store, rows = kept.Kept(str(tmp_path / "kept")), random_sales(2, 60)
     kept.refresh(sales(spark, rows), store)
