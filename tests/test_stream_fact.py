@@ -85,8 +85,7 @@ def test_several_batches_in_one_run_and_none_in_the_next(shop):
     check()
 
 
-@pytest.mark.parametrize("step", ["replace_days", "remove_folder"])
-@pytest.mark.parametrize("after", [False, True])
+@pytest.mark.parametrize(("step", "after"), [("replace_days", False), ("replace_days", True), ("remove_folder", False)])
 def test_a_batch_that_broke_off_is_done_again(shop, monkeypatch, step, after):
     """Broken before or after the step, once; the stream is started anew on its checkpoint."""
     target, deliver, run, check = shop(LAYOUTS[1])
