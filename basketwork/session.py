@@ -38,8 +38,8 @@ def shared_dir(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    warehouse, master = spark.conf.get("spark.sql.warehouse.dir").rstrip("/"), spark.sparkContext.master
-    if not is_shared(warehouse, master):
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    if not is_shared(warehouse, spark.conf.get("spark.master", "local")):
         raise ValueError(f"{warehouse} is local to each machine: set spark.checkpoint.dir to a folder that all executors share")
     return f"{warehouse}/shared"
 
