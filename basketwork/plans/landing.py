@@ -49,18 +49,18 @@ def landed_feeds(spark: SparkSession, sf_dir: str) -> dict[str, str]:
 
 
 def land(spark: SparkSession, sf_dir: str, root: str) -> dict[str, str]:
-    """Write two customer drops, the product pages and both document exports."""
+    """Write two customer drops, the product pages and both document exports, all compressed."""
     feeds = sample_feeds.all_feeds(spark, sf_dir)
     customers = feeds["customers"]
     outdated = customers.filter(F.col("registration_date") < F.lit(sample_feeds.AS_OF))
     prefix = lake.CUSTOMER_PREFIX.rstrip("_")
-    lake.write_csv(outdated, root, "raw", prefix, OLDER)
-    lake.write_csv(customers, root, "raw", prefix, NEWER)
+    lake.write_csv(outdated, root, "raw", prefix, OLDER, "gzip")
+    lake.write_csv(customers, root, "raw", prefix, NEWER, "gzip")
     return {
         "root": root,
-        "products": lake.write_json(pages_of(feeds["products"]), root, "raw", "products", NEWER),
+        "products": lake.write_json(pages_of(feeds["products"]), root, "raw", "products", NEWER, "gzip"),
         "marketing_campaigns": lake.write_json(
-            feeds["marketing_campaigns"], root, "raw", "marketing_campaigns", NEWER
+            feeds["marketing_campaigns"], root, "raw", "marketing_campaigns", NEWER, "gzip"
         ),
-        "sales_transactions": lake.write_json(feeds["sales_transactions"], root, "raw", "sales_transactions", NEWER),
+        "sales_transactions": lake.write_json(feeds["sales_transactions"], root, "raw", "sales_transactions", NEWER, "gzip"),
     }

@@ -21,6 +21,7 @@ STAMP = "%Y%m%d_%H%M%S"
 CUSTOMER_PREFIX = "synthetic_customers_"
 KEEP_MARKER = ".keep"
 MAX_AGE_HOURS = 24
+FILE_RECORDS = 500_000  # of one compressed file
 
 CSV_OPTIONS = {
     "header": True, "escape": '"', "multiLine": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False,
@@ -82,17 +83,22 @@ def drop_path(lake: str, layer: str, name: str, at: dt.datetime, kind: str) -> s
     return f"{lake}/{layer}/{name}_{at.strftime(STAMP)}.{kind}"
 
 
-def write_csv(df: DataFrame, lake: str, layer: str, name: str, at: dt.datetime) -> str:
+def write_csv(df: DataFrame, lake: str, layer: str, name: str, at: dt.datetime, compression: str = "none") -> str:
     """A CSV drop with header; returns its path."""
     path = drop_path(lake, layer, name, at, "csv")
-    df.write.options(**CSV_OPTIONS).csv(path)
+    df.write.options(**CSV_OPTIONS, compression=compression).csv(path)
     return path
 
 
-def write_json(df: DataFrame, lake: str, layer: str, name: str, at: dt.datetime) -> str:
-    """A JSON drop, one object per line, so that it splits and streams."""
+def write_json(df: DataFrame, lake: str, layer: str, name: str, at: dt.datetime, compression: str = "none") -> str:
+    """A JSON drop, one object per line, so that it splits and streams.
+
+    Every object repeats all names, so a compressed drop has about a tenth of the bytes. A compressed file is read by
+    one task; files of at most `FILE_RECORDS` records keep the drop in parts.
+    """
     path = drop_path(lake, layer, name, at, "json")
-    df.write.option("ignoreNullFields", False).json(path)
+    writer = df.write.option("ignoreNullFields", False).option("compression", compression)
+    (writer if compression == "none" else writer.option("maxRecordsPerFile", FILE_RECORDS)).json(path)
     return path
 
 
