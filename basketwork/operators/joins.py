@@ -121,13 +121,14 @@ def matched_keys(rows: DataFrame, dims: Mapping[str, tuple[DataFrame, str]]) ->
     return left.join(right, ["dimension", "key"], "full_outer")
 
 
-def first_per_key(df: DataFrame, key: str, order: Sequence) -> DataFrame:
+def first_per_key(df: DataFrame, key: str, order: Sequence, within: Sequence[str] = ()) -> DataFrame:
     """The first row of each key in a total order.
 
     Spark keeps one row per key in each task before the shuffle
-    (WindowGroupLimit), so a hot key does not pile up in one task.
+    (WindowGroupLimit), so a hot key does not pile up in one task. `within` names columns that the key
+    determines, such as the order of a sale: rows that are already dealt out by them are not shuffled again.
     """
-    rank = F.row_number().over(Window.partitionBy(key).orderBy(*order))
+    rank = F.row_number().over(Window.partitionBy(*within, key).orderBy(*order))
     return df.withColumn("__rank", rank).filter(F.col("__rank") == 1).drop("__rank")
 
 

@@ -200,22 +200,34 @@ def dim_campaigns(
     )
 
 
-def best_transactions(transactions: DataFrame) -> DataFrame:
+def best_transactions(
+    transactions: DataFrame, columns: Sequence[str] | None = None, within: Sequence[str] = ()
+) -> DataFrame:
     """One raw row per transaction id: completed first, then the newest.
 
     The status is compared as delivered, so `completed` in lower case gains no
-    preference.
+    preference. `columns` are the wanted ones, by default all. Ties are broken in the order of the feed's columns, so
+    those behind the last wanted column cannot change a wanted value: they are left out before the shuffle. `within`:
+    see `first_per_key`.
     """
     c = F.col
+    ties = _ties("sales_transactions", ["transaction_id"])
+    if columns is not None:
+        names = schemas.TRANSACTIONS.fieldNames()
+        used = names[: max(names.index(name) for name in columns) + 1]
+        ties = _ties("sales_transactions", ["transaction_id", *names[len(used) :]])
+        used += [name for name in ("transaction_date", "status") if name not in used]
+        transactions = transactions.select(*within, *used)
     return first_per_key(
         transactions.filter(c("transaction_id").isNotNull()),
         "transaction_id",
         [
             _when_first(c("status") == PREFERRED_SALE_STATUS),
             c("transaction_date").desc_nulls_last(),
-            *_ties("sales_transactions", ["transaction_id"]),
+            *ties,
         ],
-    )
+        within,
+    ).drop(*within)
 
 
 def fk_flags(
@@ -224,12 +236,14 @@ def fk_flags(
     products: DataFrame,
     campaigns: DataFrame,
     sizes: Callable[[DataFrame], int] | None = None,
+    columns: Sequence[str] | None = None,
+    within: Sequence[str] = (),
 ) -> DataFrame:
     """Best transactions with `customer_exists`, `product_exists`, `campaign_exists`.
 
-    A transaction without campaign (null or empty) counts as existing.
+    A transaction without campaign (null or empty) counts as existing. `columns`, `within`: see `best_transactions`.
     """
-    best = best_transactions(transactions)
+    best = best_transactions(transactions, columns, within)
     for dim, key, flag in (
         (customers, "customer_id", "customer_exists"),
         (products, "product_id", "product_exists"),
@@ -247,11 +261,23 @@ def _size(df: DataFrame, sizes: Callable[[DataFrame], int] | None) -> int:
     return sum(column_bytes(df).values()) if sizes is None else sizes(df)
 
 
+# The columns of the feed that the fact is made of.
+FACT_SOURCES = [
+    "transaction_id", "customer_id", "product_id", "campaign_id", "quantity", "unit_price", "amount", "discount_amount", "tax_amount",
+    "transaction_date", "payment_method", "status", "shipping_address", "order_notes",
+]
+
+
 def clean_sales(best: DataFrame, loaded_at: Column | None = None, empty_campaign_as_null: bool = False) -> DataFrame:
     """Cleaned measures, derived amounts and flags of deduplicated transactions."""
+    return with_derived(cleaned_sales(best, loaded_at, empty_campaign_as_null))
+
+
+def cleaned_sales(best: DataFrame, loaded_at: Column | None = None, empty_campaign_as_null: bool = False) -> DataFrame:
+    """Cleaned measures of deduplicated transactions."""
     c = F.col
     campaign = F.nullif(c("campaign_id"), F.lit("")) if empty_campaign_as_null else c("campaign_id")
-    cleaned = best.select(
+    return best.select(
         "transaction_id",
         "customer_id",
         "product_id",
@@ -265,6 +291,11 @@ def clean_sales(best: DataFrame, loaded_at: Column | None = None, empty_campaign
         trim_all(_or(c("order_notes"), "")).alias("order_notes"),
         _loaded(loaded_at).alias("created_timestamp"),
     )
+
+
+def with_derived(cleaned: DataFrame) -> DataFrame:
+    """`cleaned_sales` with derived amounts and flags; they need no other row, so they are best added after a shuffle."""
+    c = F.col
     gross = (c("quantity") * c("unit_price")).cast(MONEY)
     total = (gross - c("discount_amount") + c("tax_amount")).cast(MONEY)
     return cleaned.select(
@@ -279,6 +310,11 @@ def clean_sales(best: DataFrame, loaded_at: Column | None = None, empty_campaign
     )
 
 
+def without_derived(sales: DataFrame) -> DataFrame:
+    """The columns of `cleaned_sales` of a fact, from which `with_derived` makes the others again."""
+    return sales.select(*FACT_SOURCES, "created_timestamp")
+
+
 def fact_sales(
     transactions: DataFrame,
     customers: DataFrame,
@@ -292,7 +328,20 @@ def fact_sales(
     The campaign need not exist. An empty campaign id stays empty unless
     `empty_campaign_as_null` is set.
     """
-    sales = clean_sales(best_transactions(transactions), loaded_at, empty_campaign_as_null)
+    return with_derived(kept_sales(transactions, customers, products, loaded_at, empty_campaign_as_null, sizes))
+
+
+def kept_sales(
+    transactions: DataFrame,
+    customers: DataFrame,
+    products: DataFrame,
+    loaded_at: Column | None = None,
+    empty_campaign_as_null: bool = False,
+    sizes: Callable[[DataFrame], int] | None = None,
+    within: Sequence[str] = (),
+) -> DataFrame:
+    """`fact_sales` without the derived columns; `within`: see `best_transactions`."""
+    sales = cleaned_sales(best_transactions(transactions, FACT_SOURCES, within), loaded_at, empty_campaign_as_null)
     kept = sales.filter(F.col("status").isin(KEPT_SALE_STATUSES) & (F.col("amount") > 0))
     for dim, key in ((customers, "customer_id"), (products, "product_id")):
         keys = dim.select(key)

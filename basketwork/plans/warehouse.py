@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,12 +23,14 @@ def build(
     loaded_at: Column | None = None,
     empty_campaign_as_null: bool = False,
     layout: Layout = Layout(),
+    within: Sequence[str] = (),
 ) -> Warehouse:
     """Write the four tables under `path` and return them as stored.
 
     The dimensions are written first, side by side; the fact is filtered against the
     written tables, so no plan holds a dimension's cleaning twice. Every table is replaced as a
-    whole: days of the fact that no longer have sales go.
+    whole: days of the fact that no longer have sales go. `within` names further columns of the sales feed that a
+    transaction id determines and by which its rows are already dealt out (see `joins.first_per_key`).
     """
     spark = feeds["customers"].sparkSession
     dims = {
@@ -38,11 +41,11 @@ def build(
     with ThreadPoolExecutor(len(dims)) as jobs:
         list(jobs.map(lambda item: write_dimension(item[1], item[0], f"{path}/{item[0]}"), dims.items()))
     customers, products, campaigns = (stored(spark, f"{path}/{name}") for name in dims)
-    fact = star.fact_sales(
-        feeds["sales_transactions"], customers, products, loaded_at, empty_campaign_as_null
+    kept = star.kept_sales(
+        feeds["sales_transactions"], customers, products, loaded_at, empty_campaign_as_null, within=within
     )
     keys = {"customer_id": customers, "product_id": products}
-    write_fact(fact, f"{path}/fact_sales_transactions", layout, keys)
+    write_fact(kept, f"{path}/fact_sales_transactions", layout, keys, star.with_derived)
     return Warehouse(customers, products, campaigns, stored_fact(spark, f"{path}/fact_sales_transactions"))
 
 
@@ -75,6 +78,8 @@ def sample_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _built:
         loaded_at = F.lit(dt.datetime.combine(sample_feeds.AS_OF, dt.time(6)))
-        feeds = sample_feeds.all_feeds(spark, sf_dir)
-        _built[key] = build(feeds, _sample_path(spark, sf_dir), sample_feeds.AS_OF, loaded_at, layout=SAMPLE_LAYOUT)
+        feeds = {**sample_feeds.all_feeds(spark, sf_dir), "sales_transactions": sample_feeds.transactions(spark, sf_dir, with_order=True)}
+        _built[key] = build(
+            feeds, _sample_path(spark, sf_dir), sample_feeds.AS_OF, loaded_at, layout=SAMPLE_LAYOUT, within=[sample_feeds.ORDER]
+        )
     return _built[key]

@@ -9,6 +9,7 @@ feeds grow with the tables and any SQL engine can restate them.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +20,7 @@ from basketwork.functions.numbers import MONEY
 AS_OF = dt.date(2001, 11, 5)
 EPOCH = dt.date(1995, 1, 1)
 MAX_QUANTITY_TYPE = "decimal(10,0)"
+ORDER = "order_key"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,7 +35,7 @@ def _null_if(condition: Column, value: Column) -> Column:
     return F.when(~condition, value)
 
 
-def _conform(df: DataFrame, feed: str, keep_decimals: bool = True) -> DataFrame:
+def _conform(df: DataFrame, feed: str, keep_decimals: bool = True, extra: Sequence[str] = ()) -> DataFrame:
     """Columns in feed order and type; decimals stay exact where they are used."""
     out = []
     for field in schemas.FEEDS[feed].fields:
@@ -43,7 +45,7 @@ def _conform(df: DataFrame, feed: str, keep_decimals: bool = True) -> DataFrame:
             out.append(F.col(field.name))
         else:
             out.append(F.col(field.name).cast(field.dataType).alias(field.name))
-    return df.select(*out)
+    return df.select(*out, *extra)
 
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -161,16 +163,20 @@ def campaigns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _conform(feed.unionByName(again), "marketing_campaigns")
 
 
-def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+def transactions(spark: SparkSession, sf_dir: str, with_order: bool = False) -> DataFrame:
+    """The sales feed; `with_order` adds the order of each sale (`ORDER`), by which a large feed comes dealt out."""
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
-    lines = table(spark, sf_dir, "lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    # whole units and cents have far fewer bytes than doubles in the shuffle of the join
+    types = {"l_quantity": MAX_QUANTITY_TYPE, "l_extendedprice": MONEY, "l_tax": "decimal(4,2)"}
+    exact = table(spark, sf_dir, "lineitem").withColumns({name: F.col(name).cast(kind) for name, kind in types.items()})
+    lines = exact.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
     c, order = F.col, F.col("l_orderkey")
-    units = c("l_quantity").cast(MAX_QUANTITY_TYPE)
-    unit_price = F.round(c("l_extendedprice").cast(MONEY) / units, 2).cast(MONEY)
+    units = c("l_quantity")
+    unit_price = F.round(c("l_extendedprice") / units, 2).cast(MONEY)
     lines = lines.withColumn("__price", unit_price)
     gross = (units * c("__price")).cast(MONEY)
     discount = F.round(gross * c("l_discount").cast("decimal(4,2)"), 2).cast(MONEY)
-    tax = F.round(gross * c("l_tax").cast("decimal(4,2)"), 2).cast(MONEY)
+    tax = F.round(gross * c("l_tax"), 2).cast(MONEY)
     off_by = F.when(_every("l_orderkey", 37), "0.02").when(_every("l_orderkey", 41), "0.01").otherwise("0.00")
     amount = F.when(_every("l_orderkey", 59), F.lit(0).cast(MONEY)).otherwise(
         (gross - discount + tax + off_by.cast(MONEY)).cast(MONEY)
@@ -208,8 +214,9 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         _null_if(_every("l_partkey", 5), F.lit("ring twice ")).alias("order_notes"),
         c("o_orderdate").alias("created_date"),
         c("l_shipdate").alias("updated_date"),
+        order.alias(ORDER),
     )
-    return _conform(feed, "sales_transactions")
+    return _conform(feed, "sales_transactions", extra=[ORDER] if with_order else [])
 
 
 def all_feeds(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,35 +51,36 @@ def write_dimension(df: DataFrame, name: str, path: str) -> None:
 
 
 def write_fact(
-    df: DataFrame, path: str, layout: Layout = Layout(), keys: Mapping[str, DataFrame] | None = None
+    df: DataFrame, path: str, layout: Layout = Layout(), keys: Mapping[str, DataFrame] | None = None, derive: Callable[[DataFrame], DataFrame] | None = None
 ) -> None:
     """Replace the whole fact: by default one folder per day, clustered inside each file (see `Layout`).
 
     Rebalancing gathers a folder's rows, or those of each of its slices, in few files and lets AQE split a day that
     is far larger than the others, such as the placeholder for missing dates. Days that the new rows lack go. `keys`
-    holds the dimensions that the ranges of the curve are taken from.
+    holds the dimensions that the ranges of the curve are taken from. `derive` adds columns that each row has in itself
+    once the rows are gathered, so that they are not shuffled.
     """
-    _in_folders(df, layout, keys).option("partitionOverwriteMode", "static").parquet(path)
+    _in_folders(df, layout, keys, derive).option("partitionOverwriteMode", "static").parquet(path)
 
 
 def replace_days(
-    df: DataFrame, path: str, layout: Layout = Layout(), keys: Mapping[str, DataFrame] | None = None
+    df: DataFrame, path: str, layout: Layout = Layout(), keys: Mapping[str, DataFrame] | None = None, derive: Callable[[DataFrame], DataFrame] | None = None
 ) -> None:
     """Replace just the folders that `df` has rows of; others stay."""
-    _in_folders(df, layout, keys).option("partitionOverwriteMode", "dynamic").parquet(path)
+    _in_folders(df, layout, keys, derive).option("partitionOverwriteMode", "dynamic").parquet(path)
 
 
-def _in_folders(df: DataFrame, layout: Layout, keys: Mapping[str, DataFrame] | None):
-    rows, folder = layout.with_folder(df), layout.column
+def _in_folders(df: DataFrame, layout: Layout, keys: Mapping[str, DataFrame] | None, derive: Callable[[DataFrame], DataFrame] | None):
+    rows, folder, derive = layout.with_folder(df), layout.column, derive or (lambda gathered: gathered)
     if layout.slices == 1:
-        spread = rows.hint("rebalance", folder).sortWithinPartitions(folder, PARTITION, *CLUSTERING[FACT])
+        spread = derive(rows.hint("rebalance", folder)).sortWithinPartitions(folder, PARTITION, *CLUSTERING[FACT])
     else:
         places = 1 << layout.bits * len(CLUSTERING[FACT])
         part = F.floor(F.col("__place") * layout.slices / places).cast("int")
         sliced = rows.withColumn("__place", curve(df, CLUSTERING[FACT], layout.bits, keys)).withColumn("__slice", part)
-        spread = sliced.hint("rebalance", folder, "__slice").sortWithinPartitions(folder, "__slice", PARTITION, "__place")
+        spread = derive(sliced.hint("rebalance", folder, "__slice")).sortWithinPartitions(folder, "__slice", PARTITION, "__place")
         spread = spread.drop("__place", "__slice")
-    return spread.write.mode("overwrite").partitionBy(folder)
+    return spread.write.mode("overwrite").option("compression", "zstd").partitionBy(folder)
 
 
 def stored_fact(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:

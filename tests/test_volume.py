@@ -20,3 +20,33 @@ def test_drops_are_compressed_and_whole(spark, tmp_path):
     files = [p.name for p in Path(tmp_path).rglob("part-*")]
     assert files and all(name.endswith(".gz") for name in files)
     assert spark.read.json(landed["sales_transactions"]).count() == sample_feeds.transactions(spark, str(DATA)).count()
+
+
+@pytest.fixture
+def shuffled(spark):
+    """Joins are shuffled, as they are for feeds too large to broadcast."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def _exchanges(df) -> int:
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange ")
+
+
+def test_sales_dealt_out_by_order_are_not_shuffled_again(spark, shuffled):
+    feed = sample_feeds.transactions(spark, str(DATA), with_order=True)
+    assert _exchanges(star.best_transactions(feed, star.FACT_SOURCES, [sample_feeds.ORDER])) == _exchanges(feed)
+    plain = star.best_transactions(sample_feeds.transactions(spark, str(DATA))).select(*star.FACT_SOURCES)
+    mine = star.best_transactions(feed, star.FACT_SOURCES, [sample_feeds.ORDER]).select(*star.FACT_SOURCES)
+    assert sorted(map(str, mine.collect())) == sorted(map(str, plain.collect()))
+
+def test_derived_columns_come_after_the_shuffle(spark, tmp_path):
+    best = star.best_transactions(sample_feeds.transactions(spark, str(DATA)))
+    whole = star.clean_sales(best, F.lit("2024-01-01").cast("timestamp"))
+    for layout in (Layout(), Layout("month"), Layout("month", slices=4)):
+        path = f"{tmp_path}/{layout.folder}{layout.slices}"
+        tables.write_fact(star.without_derived(whole), path, layout, derive=star.with_derived)
+        stored = tables.stored_fact(spark, path)
+        assert sorted(stored.columns) == sorted(whole.columns)
+        assert sorted(map(str, stored.select(*whole.columns).collect())) == sorted(map(str, whole.collect()))
