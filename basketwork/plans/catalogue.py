@@ -58,7 +58,8 @@ def _on_warehouse(build: Callable) -> Query:
 
 def _fk_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     w = sample_warehouse(spark, sf_dir)
-    flags = star.fk_flags(sample_feeds.transactions(spark, sf_dir), w.customers, w.products, w.campaigns)
+    keys, sales = ["transaction_id", "customer_id", "product_id", "campaign_id"], sample_feeds.transactions(spark, sf_dir, with_order=True)
+    flags = star.fk_flags(sales, w.customers, w.products, w.campaigns, columns=keys, within=[sample_feeds.ORDER])
     return flags.select("transaction_id", "customer_exists", "product_exists", "campaign_exists")
 
 

@@ -41,6 +41,15 @@ def test_sales_dealt_out_by_order_are_not_shuffled_again(spark, shuffled):
     mine = star.best_transactions(feed, star.FACT_SOURCES, [sample_feeds.ORDER]).select(*star.FACT_SOURCES)
     assert sorted(map(str, mine.collect())) == sorted(map(str, plain.collect()))
 
+
+def test_flags_of_keys_shuffle_keys_only(spark):
+    feed, keys = sample_feeds.transactions(spark, str(DATA)), ["transaction_id", "customer_id", "product_id", "campaign_id"]
+    narrow = star.best_transactions(feed, keys)
+    assert set(narrow.columns) == {*keys, "status", "transaction_date"}
+    plain = star.best_transactions(feed).select(*keys)
+    assert sorted(map(str, narrow.select(*keys).collect())) == sorted(map(str, plain.collect()))
+
+
 def test_derived_columns_come_after_the_shuffle(spark, tmp_path):
     best = star.best_transactions(sample_feeds.transactions(spark, str(DATA)))
     whole = star.clean_sales(best, F.lit("2024-01-01").cast("timestamp"))
