@@ -24,7 +24,6 @@ from pyspark.sql.streaming import StreamingQuery
 
 from basketwork import schemas
 from basketwork.operators import star
-from basketwork.session import checkpointed
 from basketwork.sources import tables
 from basketwork.sources.layout import Layout
 
@@ -59,7 +58,14 @@ def _versions(spark: SparkSession, target: Target, batch_id: int) -> DataFrame:
     state = tables.stored_or_empty(spark, target.state, STATE_SCHEMA)
     new = state.filter(F.col("batch_id") == batch_id)
     old = state.filter(F.col("batch_id") < batch_id).join(new.select("transaction_id"), "transaction_id", "left_semi")
-    return checkpointed(new.unionByName(old))
+    return new.unionByName(old)
+
+
+def _scratch(spark: SparkSession, target: Target, name: str, rows: DataFrame) -> DataFrame:
+    """Rows that several steps of a batch read, in a folder beside the state that the next batch replaces."""
+    path = f"{target.state}-scratch/{name}"
+    rows.write.mode("overwrite").option("compression", "zstd").parquet(path)
+    return tables.stored(spark, path, rows.schema)
 
 
 def _folder(target: Target) -> Column:
@@ -76,20 +82,22 @@ def merge_batch(batch: DataFrame, batch_id: int, target: Target) -> None:
     spark, column = batch.sparkSession, target.layout.column
     best = star.best_transactions(batch.select(*schemas.TRANSACTIONS.fieldNames()))
     keep = best.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("overwrite").partitionBy("batch_id")
-    keep.option("partitionOverwriteMode", "dynamic").parquet(target.state)
-    versions = _versions(spark, target, batch_id)
+    keep.option("partitionOverwriteMode", "dynamic").option("compression", "zstd").parquet(target.state)
+    state = tables.stored_or_empty(spark, target.state, STATE_SCHEMA)
+    versions = _scratch(spark, target, "versions", _versions(spark, target, batch_id))
     touched = [r[0] for r in versions.select(_folder(target)).distinct().collect()]
     if not touched:
         return
     customers, products = (tables.stored(spark, f"{target.warehouse}/{n}") for n in ("dim_customers", "dim_products"))
-    rows = star.fact_sales(versions.drop("batch_id"), customers, products, target.loaded_at, target.empty_campaign_as_null)
-    schema = target.layout.with_folder(rows).schema
+    found = star.kept_sales(versions.drop("batch_id"), customers, products, target.loaded_at, target.empty_campaign_as_null)
+    rows = _scratch(spark, target, "rows", found)
+    schema = target.layout.with_folder(star.with_derived(rows)).schema
     there = tables.stored_or_empty(spark, target.fact, schema).filter(tables.one_of(column, touched))
-    ours = versions.filter(F.col("batch_id") == batch_id).select("transaction_id")
+    ours = state.filter(F.col("batch_id") == batch_id).select("transaction_id")
     kept = there.select(*rows.columns).join(ours, "transaction_id", "left_anti").select(*rows.columns)
     both = kept.unionByName(rows)
     filled = {str(r[0]) for r in both.select(_folder(target)).distinct().collect()}
-    tables.replace_days(both, target.fact, target.layout, {"customer_id": customers, "product_id": products})
+    tables.replace_days(both, target.fact, target.layout, {"customer_id": customers, "product_id": products}, star.with_derived)
     for folder in {str(value) for value in touched} - filled:
         tables.remove_folder(spark, f"{target.fact}/{column}={folder}")
 
@@ -111,7 +119,7 @@ def compact_state(spark: SparkSession, target: Target, up_to: int) -> None:
     """
     state = tables.stored_or_empty(spark, target.state, STATE_SCHEMA).filter(F.col("batch_id") <= up_to)
     old = [r[0] for r in state.select("batch_id").distinct().collect()]
-    best = checkpointed(star.best_transactions(state.drop("batch_id")))
+    best = _scratch(spark, target, "compacted", star.best_transactions(state.drop("batch_id")))
     merged = best.withColumn("batch_id", F.lit(up_to).cast("long")).write.mode("overwrite").partitionBy("batch_id")
     merged.option("partitionOverwriteMode", "dynamic").parquet(target.state)
     for batch_id in old:

@@ -59,3 +59,13 @@ def test_derived_columns_come_after_the_shuffle(spark, tmp_path):
         stored = tables.stored_fact(spark, path)
         assert sorted(stored.columns) == sorted(whole.columns)
         assert sorted(map(str, stored.select(*whole.columns).collect())) == sorted(map(str, whole.collect()))
+
+
+def test_stream_keeps_no_checkpoint_of_versions(spark, feed, tmp_path, monkeypatch):
+    for name, dim in (("dim_customers", star.dim_customers(feed("customers", {"customer_id": "c"}))), ("dim_products", star.dim_products(feed("products", {"product_id": "p"})))):
+        tables.write_dimension(dim, name, f"{tmp_path}/{name}")
+    target = fact_stream.Target(str(tmp_path), f"{tmp_path}/state")
+    monkeypatch.setattr("pyspark.sql.classic.dataframe.DataFrame.checkpoint", lambda *a, **k: pytest.fail("rows stored unpacked"))
+    for batch_id, amount in enumerate((10.0, 12.0)):
+        fact_stream.merge_batch(feed("sales_transactions", {"transaction_id": "1", "amount": amount, "status": "COMPLETED"}), batch_id, target)
+    assert [r.transaction_id for r in tables.stored_fact(spark, target.fact).collect()] == ["1"]
