@@ -10,8 +10,9 @@ from collections.abc import Iterator
 from urllib.parse import urlsplit
 
 import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketwork.llm.common import stored
@@ -41,6 +42,9 @@ INLINE = {
 }
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 
+# Elements that may be a part of their own in an article, if they have a class or id.
+UNITS = {"div", "section", "ul", "ol", "dl", "table", "figure", "center", "fieldset", "details"}
+
 _TOKEN = re.compile(r"<!--.*?(?:-->|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|$)", re.S)
 _ATTRIBUTE = re.compile(r"(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 FURNITURE_ZONE, OUTSIDE_ZONE, ARTICLE_ZONE = 0, 1, 2
@@ -84,6 +88,10 @@ def _is_furniture(name: str, attributes: str) -> bool:
     return False
 
 
+def _has_name(attributes: str) -> bool:
+    return any(m[1].lower() != "role" and (m[2] or m[3] or m[4] or "").strip() for m in _ATTRIBUTE.finditer(attributes))
+
+
 def _names_furniture(token: str) -> bool:
     """Whether a class or id is a furniture word, alone or with words of place: `sidebar`, `site-footer`, not `has-sidebar`."""
     parts = [p for p in re.split(r"[-_]+", token) if p]
@@ -129,22 +137,23 @@ def _closing(tokens: list[tuple]) -> dict[int, int]:
     return found
 
 
-def page_lines(page: str | None) -> list[tuple[str, int]]:
-    """Blocks of a page's text in order, white space as one blank, each with its zone.
+def page_blocks(page: str | None) -> list[tuple[str, int, int]]:
+    """Blocks of a page's text in order, white space as one blank, each with its zone and its unit.
 
     Article: inside article, main or their roles. Furniture: inside menus, headers, footers,
     sidebars, notices, adverts, forms, comments, by element, role, or a whole class or id; an element that is
     never closed marks nothing, nor does one that only by its name is furniture and holds an article or most of
-    the page's text. Outside: the rest.
+    the page's text. Outside: the rest. Unit: the innermost element of `UNITS` inside the article that has a class
+    or id and is closed, numbered from 1; 0 is none.
     """
     tokens = _tokens(page or "")
     closes, lines, run, measures = _closing(tokens), [], [], None
-    furniture_until, article_until, zone = -1, -1, OUTSIDE_ZONE
+    furniture_until, article_until, zone, units, inside = -1, -1, OUTSIDE_ZONE, 0, []
 
     def flush() -> None:
         text = " ".join("".join(run).split())
         if text:
-            lines.append((text, zone))
+            lines.append((text, zone, inside[-1][1] if inside and zone == ARTICLE_ZONE else 0))
         run.clear()
 
     for i, t in enumerate(tokens):
@@ -160,10 +169,15 @@ def page_lines(page: str | None) -> list[tuple[str, int]]:
                 if name in FURNITURE or i < article_until or not (measures := measures or _Measures(tokens)).holds_the_text(i, closes[i], attributes):
                     flush()
                     furniture_until = closes[i]
+            if name in UNITS and furniture_until < i < article_until and i in closes and _has_name(attributes):
+                units += 1
+                inside.append((closes[i], units))
             if i > article_until and _is_article(name, attributes):
                 article_until = closes.get(i, len(tokens))
         elif i == furniture_until:
             flush()
+        while inside and inside[-1][0] <= i:
+            inside.pop()
         now = FURNITURE_ZONE if i < furniture_until else ARTICLE_ZONE if i < article_until else OUTSIDE_ZONE
         if now != zone:
             flush()
@@ -172,6 +186,33 @@ def page_lines(page: str | None) -> list[tuple[str, int]]:
     return lines
 
 
+def page_lines(page: str | None) -> list[tuple[str, int]]:
+    """The blocks of `page_blocks` with their zones alone."""
+    return [(text, zone) for text, zone, _ in page_blocks(page)]
+
+
+def candidates(blocks: list[tuple[str, int, int]]) -> list[int]:
+    """Places of the blocks that may be text: those of the article, or, on a page without one, those outside furniture."""
+    wanted = ARTICLE_ZONE if any(z == ARTICLE_ZONE for _, z, _ in blocks) else OUTSIDE_ZONE
+    return [i for i, (_, z, _) in enumerate(blocks) if z == wanted]
+
+
+def without_shared(places: list[int], article: bool, units: list[int], letters: list[int], shared: list[int]) -> list[int]:
+    """Which of a page's candidates go, as places in `places`, when the blocks at `shared` are also on the nearest page.
+
+    On a page without an article all shared ones go. In an article, whose first lines often recur, they go where they
+    are a whole unit, such as a box for subscribers under a name that says nothing; not if such units hold over half
+    of the article, as they do on copies of one article.
+    """
+    common = set(shared)
+    if not article:
+        return [k for k, i in enumerate(places) if i in common]
+    own = {units[i] for i in places if i not in common}
+    gone = [k for k, i in enumerate(places) if units[i] and units[i] not in own]
+    of = lambda ks: sum(letters[places[k]] for k in ks)
+    return gone if 2 * of(gone) <= of(range(len(places))) else []
+
+
 def url_key(url: str | None) -> tuple[str, str]:
     """Host and path of a URL, in lower case, without query, fragment, `.html` and last slash; no host if there is none to read."""
     try:
@@ -213,20 +254,37 @@ def common_lines(own: list[int], other: list[int]) -> list[int]:
     return [*range(head), *middle[::-1], *range(len(own) - tail, len(own))]
 
 
-PARSED = "page_id long, url string, host string, path string, article boolean, lines array<string>, zones array<int>"
+KEY = ["page_id", "url", "digest"]
+OUTLINE = "page_id long, url string, digest long, host string, path string, hashes array<long>, places array<int>, article boolean, units array<int>, letters array<int>"
+
 
+def _hashed(text: str) -> int:
+    return xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass")) - (1 << 63)
 
-def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = [c.split()[0] for c in PARSED.split(", ")]
+
+def _outlines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What differencing needs of each page: a hash of every block, which are candidates, their units and letters."""
+    names, lists = [c.split()[0] for c in OUTLINE.split(", ")], pa.list_(pa.int32())
+    types = (pa.string(), pa.string(), pa.list_(pa.int64()), lists, pa.bool_(), lists, lists)
     for batch in batches:
-        columns = [[] for _ in names[2:]]
+        columns = [[] for _ in types]
         for url, page in zip(batch["url"].to_pylist(), batch["html"]):
-            lines = page_lines(page.as_py())
-            article = any(z == ARTICLE_ZONE for _, z in lines)
-            for column, value in zip(columns, (*url_key(url), article, [t for t, _ in lines], [z for _, z in lines])):
+            blocks = page_blocks(page.as_py())
+            texts, zones, units = zip(*blocks) if blocks else ((), (), ())
+            row = (*url_key(url), [*map(_hashed, texts)], candidates(blocks), ARTICLE_ZONE in zones, units, [len(t) - t.count(" ") for t in texts])
+            for column, value in zip(columns, row):
                 column.append(value)
-        types = (pa.string(), pa.string(), pa.bool_(), pa.list_(pa.string()), pa.list_(pa.int32()))
-        yield pa.record_batch([batch["page_id"], batch["url"], *map(pa.array, columns, types)], names)
+        yield pa.record_batch([*(batch[k] for k in KEY), *map(pa.array, columns, types)], names)
+
+
+def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts of each page's candidates."""
+    for batch in batches:
+        found = []
+        for page in batch["html"]:
+            blocks = page_blocks(page.as_py())
+            found.append([blocks[i][0] for i in candidates(blocks)])
+        yield pa.record_batch([*(batch[k] for k in KEY), pa.array(found, pa.list_(pa.string()))], [*KEY, "lines"])
 
 
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
@@ -256,7 +314,7 @@ def _edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _pairer(before: dict[int, list[dict]], after: dict[int, list[dict]]):
-    """Shared lines of each open page with its nearest page; `before`, `after`: rows next to each partition."""
+    """Candidates that go from each page for its nearest page; `before`, `after`: rows next to each partition."""
 
     def prefix(a: str, b: str) -> int:
         n = 0
@@ -264,41 +322,40 @@ def _pairer(before: dict[int, list[dict]], after: dict[int, list[dict]]):
             n += 1
         return n
 
-    def shared(row: dict, around: list[dict | None]) -> list[int]:
+    def gone(row: dict, around: list[dict | None]) -> list[int]:
         near = [r for r in around if r and row["host"] and r["host"] == row["host"] and r["path"] != row["path"]]
         if not near:
             return []
         partner = max(near, key=lambda r: prefix(r["path"], row["path"]))
-        return common_lines(row["hashes"], partner["hashes"])
+        return without_shared(row["places"], row["article"], row["units"], row["letters"], common_lines(row["hashes"], partner["hashes"]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
-        waiting: list[dict] = []  # open pages of the path at hand, until the next path is known
+        waiting: list[dict] = []  # pages of the path at hand, until the next path is known
         earlier, last = None, None
 
         def other_path(rows: list[dict], row: dict) -> dict | None:
             return next((r for r in rows if (r["host"], r["path"]) != (row["host"], row["path"])), None)
 
-        def batch_of(done: list[tuple[int, list[int]]]) -> pa.RecordBatch:
-            return pa.record_batch([pa.array([r for r, _ in done], pa.int64()), pa.array([s for _, s in done], pa.list_(pa.int32()))], ["rid", "shared"])
-
-        def settle(following: dict | None) -> list[tuple[int, list[int]]]:
-            done = [(r["rid"], shared(r, [earlier, following])) for r in waiting]
+        def settled(following: dict | None) -> Iterator[pa.RecordBatch]:
+            rows = [(*(r[k] for k in KEY), gone(r, [earlier, following])) for r in waiting]
             waiting.clear()
-            return done
+            rows = [r for r in rows if r[-1]]
+            if rows:
+                types = (pa.int64(), pa.string(), pa.int64(), pa.list_(pa.int32()))
+                yield pa.record_batch([*map(pa.array, zip(*rows), types)], [*KEY, "gone"])
 
         for row in _rows(batches):
             if last is None:
                 earlier = other_path(before.get(part, []), row)
             elif (row["host"], row["path"]) != (last["host"], last["path"]):
-                if waiting:
-                    yield batch_of(settle(row))
+                yield from settled(row)
                 earlier = last
             last = row
-            if not row["article"]:
+            if row["places"]:
                 waiting.append(row)
         if waiting:
-            yield batch_of(settle(other_path(after.get(part, []), last)))
+            yield from settled(other_path(after.get(part, []), last))
 
     return run
 
@@ -320,41 +377,37 @@ def _neighbours(edges: list) -> tuple[dict[int, list[dict]], dict[int, list[dict
     return fold(sorted(by_part), "last", "before"), fold(sorted(by_part, reverse=True), "first", "after")
 
 
-def shared_lines(parsed: DataFrame) -> DataFrame:
-    """rid, shared: for pages without an article, the places of lines shared with the nearest page.
+def differences(rows: DataFrame) -> DataFrame:
+    """page_id, url, digest, gone: for pages that lose any, the places of candidates that go for the nearest page.
 
-    Pages stand in order of host, path and row in range partitions, so a large host is many
+    All pages stand in order of host, path and row in range partitions, so a large host is many
     partitions. A page's partner is, of the pages of another path next to its own in that order,
     the one whose path agrees with it longer. Of each partition's edges, four rows come to the
-    driver, for partners across the border.
+    driver, for partners across the border. Only hashes of blocks are dealt out, no text.
     """
-    outline = parsed.select("rid", "host", "path", "article", F.transform("lines", lambda x: F.xxhash64(x)).alias("hashes"))
-    wanted = outline.filter("NOT article").select("host").distinct()
-    ordered = outline.join(wanted, "host", "left_semi").repartitionByRange("host", "path", "rid").sortWithinPartitions("host", "path", "rid")
-    ordered = checkpointed(ordered)
+    outline = rows.mapInArrow(_outlines, OUTLINE)
+    order = ["host", "path", *KEY]
+    ordered = checkpointed(outline.repartitionByRange(*order).sortWithinPartitions(*order))
     edges = ordered.mapInArrow(_edges, "part int, kind string, host string, path string, hashes array<long>").collect()
-    return ordered.mapInArrow(_pairer(*_neighbours(edges)), "rid long, shared array<int>")
+    found = ordered.mapInArrow(_pairer(*_neighbours(edges)), "page_id long, url string, digest long, gone array<int>")
+    return stored(found.dropDuplicates(KEY), "differences")
 
 
 def extracted(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars of every row: blocks of the article, in order, joined by a blank.
 
-    Blocks in article or main elements are the text, but for furniture inside them. A page
-    without such an element keeps the blocks outside furniture that it does not share with the
-    nearest page of its host: their lines are aligned by longest common subsequence and shared
-    ones deleted. Null, empty and textless pages have empty text; a page alone in its host has
+    Every page is aligned with the nearest page of its host by the longest common subsequence of their blocks; what
+    is shared is deleted, checked by the marks of the page. Blocks in article or main elements are the text, but for
+    furniture inside them and for shared units (`without_shared`); a page without such an element keeps the blocks outside furniture that
+    are not shared. Null, empty and textless pages have empty text; a page alone in its host has
     nothing deleted, nor has a page whose URL is null or names no host. Rows are kept as they are, repeated and null ids included; columns other
-    than page_id, url and html are ignored; an empty table gives none.
+    than page_id, url and html are ignored; an empty table gives none. Pages are read twice, so that no text is stored.
     """
     rows = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), F.col("html").cast("string"))
-    parsed = stored(rows.mapInArrow(_parse, PARSED).withColumn("rid", F.monotonically_increasing_id()), "parsed-pages")
-
-    def text(keep) -> Column:
-        kept = F.filter(F.zip_with("lines", "zones", lambda t, z: F.struct(t.alias("t"), z.alias("z"))), keep)
-        return F.array_join(F.transform(kept, lambda x: x["t"]), " ")
-
-    whole = parsed.filter("article").select("page_id", "url", text(lambda x: x["z"] == ARTICLE_ZONE).alias("text"))
-    rest = parsed.filter("NOT article").join(shared_lines(parsed), "rid", "left")
-    kept = text(lambda x, i: (x["z"] == OUTSIDE_ZONE) & ~F.array_contains(F.coalesce("shared", F.array().cast("array<int>")), i))
-    result = whole.union(rest.select("page_id", "url", kept.alias("text")))
-    return result.withColumn("n_chars", F.length("text").cast("long"))
+    rows = rows.withColumn("digest", F.xxhash64("html"))
+    texts = rows.mapInArrow(_candidates, "page_id long, url string, digest long, lines array<string>")
+    gone = differences(rows).select(*(F.col(k).alias(f"_{k}") for k in KEY), "gone")
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in KEY]
+    joined = texts.join(gone, same[0] & same[1] & same[2], "left")
+    kept = F.filter("lines", lambda _, i: ~F.array_contains(F.coalesce("gone", F.array().cast("array<int>")), i))
+    return joined.select("page_id", "url", F.array_join(kept, " ").alias("text")).withColumn("n_chars", F.length("text").cast("long"))

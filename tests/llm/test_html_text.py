@@ -27,6 +27,21 @@ def test_shared_lines_of_the_nearest_page_go(spark):
         assert all(found[i] == f"own {i} last & {i}" for i in range(60))
 
 
+def test_shared_units_of_articles_go(spark):
+    page = "<nav>Menu</nav><article><h1>Same head</h1><p>Same first line</p><div class='x7'>Get our app<ul id=k2><li>Here</li></ul></div><p>own text of the page {0}</p><div class='x8'>Seen by {0}</div></article>"
+    rows = [(i, f"https://h.org/n/{i:03}", page.format(i)) for i in range(60)] + [(99, "https://alone.org/n", page.format(99))]
+    for parts in (1, 7):
+        found = texts(spark, rows + rows[:5], parts)
+        assert all(found[i] == f"Same head Same first line own text of the page {i} Seen by {i}" for i in range(60))
+        assert found[99] == "Same head Same first line Get our app Here own text of the page 99 Seen by 99"
+
+
+def test_copies_of_an_article_stay_whole(spark):
+    page = "<article><h1>Head {0}</h1><div class='body'><p>the same long text</p><p>on two addresses</p></div></article>"
+    found = texts(spark, [(i, f"https://h.org/{i}", page.format(i)) for i in range(3)])
+    assert all(found[i] == f"Head {i} the same long text on two addresses" for i in range(3))
+
+
 def test_same_path_is_no_partner(spark):
     rows = [(1, "http://h/a?p=1", "<p>one</p><p>two</p>"), (2, "http://h/a?p=2", "<p>one</p><p>two</p>"), (3, "http://other/b", "<p>one</p>")]
     assert texts(spark, rows) == {1: "one two", 2: "one two", 3: "one"}
