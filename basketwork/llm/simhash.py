@@ -32,10 +32,12 @@ def fingerprint(text: bytes | None, shingle: int = 3) -> int:
     words = text.lower().split() if text else []
     if not words:
         return 0
-    if len(words) <= shingle:
-        return xxhash.xxh64_intdigest(b" ".join(words), SEED)
-    digest, join = xxhash.xxh64_intdigest, b" ".join
-    hashes = np.array([digest(join(s), SEED) for s in zip(*(words[i:] for i in range(shingle)))], dtype="<u8")
+    digest, join, size = xxhash.xxh64_intdigest, b" ".join, min(shingle, len(words))
+    return print_of(np.array([digest(join(s), SEED) for s in zip(*(words[i:] for i in range(size)))], dtype="<u8"))
+
+
+def print_of(hashes: np.ndarray) -> int:
+    """The fingerprint of shingle hashes, repeats included: a bit is set if over half of them have it; 0 of none."""
     total = np.zeros(64, dtype=np.int64)
     for start in range(0, len(hashes), 1 << 16):
         part = hashes[start : start + (1 << 16)].view(np.uint8).reshape(-1, 8)

@@ -1,8 +1,9 @@
-"""Near copies by exact similarity of word shingles, on candidates that MinHash bands bring together."""
+"""Near copies by exact similarity of word shingles, on candidates that SimHash fingerprints and MinHash bands bring together."""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -10,6 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from basketwork.llm import simhash
 from basketwork.llm.common import carried, restored, stored
 from basketwork.llm.components import components
 
@@ -28,13 +30,18 @@ _FACTORS = _random.integers(0, 1 << 64, BANDS * ROWS, dtype=np.uint64) | np.uint
 _ADDED = _random.integers(0, 1 << 64, BANDS * ROWS, dtype=np.uint64)
 
 
-def shingles(text: bytes | None, shingle: int = SHINGLE) -> np.ndarray:
-    """Sorted distinct hashes of the word shingles; words and short texts as in `simhash.fingerprint`."""
+def digests(text: bytes | None, shingle: int = SHINGLE) -> np.ndarray:
+    """Hashes of the word shingles in order, repeats included; words and short texts as in `simhash.fingerprint`."""
     words = text.lower().split() if text else []
     if not words:
         return np.empty(0, dtype="<u8")
     digest, join, size = xxhash.xxh64_intdigest, b" ".join, min(shingle, len(words))
-    return np.unique(np.array([digest(join(s), SEED) for s in zip(*(words[i:] for i in range(size)))], dtype="<u8"))
+    return np.array([digest(join(s), SEED) for s in zip(*(words[i:] for i in range(size)))], dtype="<u8")
+
+
+def shingles(text: bytes | None, shingle: int = SHINGLE) -> np.ndarray:
+    """Sorted distinct hashes of the word shingles."""
+    return np.unique(digests(text, shingle))
 
 
 def minima(hashes: np.ndarray) -> np.ndarray:
@@ -58,19 +65,27 @@ def _text(value: pa.Scalar) -> bytes | None:
     return value.as_buffer().to_pybytes() if value.is_valid else None
 
 
-def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+SKETCH = "doc_id long, digest long, node long, bands array<long>, minima binary"
+
+
+def _sketches(batches: Iterator[pa.RecordBatch], prints: bool = False) -> Iterator[pa.RecordBatch]:
+    """`SKETCH` of each row; with `prints` also fp, the SimHash fingerprint of the same shingles."""
     for batch in batches:
-        nodes, bands, least = [], [], []
+        nodes, bands, least, fps = [], [], [], []
         for text in batch["text"]:
-            hashes = shingles(_text(text))
+            every = digests(_text(text))
+            hashes = np.unique(every)
             signature = minima(hashes)
             nodes.append(xxhash.xxh64_intdigest(hashes.tobytes(), SEED))
             bands += _band_keys(signature)
             least.append(signature.tobytes())
+            if prints:
+                fps.append(simhash.print_of(every))
         offsets = pa.array(np.arange(len(nodes) + 1, dtype=np.int32) * BANDS)
         keys = pa.ListArray.from_arrays(offsets, _signed(bands))
         columns = [batch["doc_id"], batch["digest"], _signed(nodes), keys, pa.array(least, pa.binary())]
-        yield pa.record_batch(columns, ["doc_id", "digest", "node", "bands", "minima"])
+        names = ["doc_id", "digest", "node", "bands", "minima"]
+        yield pa.record_batch([*columns, _signed(fps)] if prints else columns, [*names, "fp"] if prints else names)
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -149,8 +164,18 @@ def _band_links(table: pa.Table) -> pa.Table:
     return pa.table({"node": ends[:, 0], "other": ends[:, 1]})
 
 
-def _candidate_groups(sketches: DataFrame) -> DataFrame:
-    """node, component: nodes joined, directly or over others, by a common band and signatures that agree.
+def _print_links(sketches: DataFrame) -> DataFrame:
+    """node, other: links that join the nodes whose fingerprints `simhash.links` joins, or that share a fingerprint."""
+    prints = stored(sketches.select("fp", "node").distinct(), "prints")
+    heads = stored(prints.groupBy("fp").agg(F.min("node").alias("head")), "print-heads")
+    same = prints.join(heads, "fp").select("node", F.col("head").alias("other"))
+    ends = [heads.select(F.col("fp").alias(end), F.col("head").alias(f"{end}_head")) for end in ("node", "other")]
+    across = simhash.links(heads.select("fp")).join(ends[0], "node").join(ends[1], "other")
+    return same.union(across.select(F.col("node_head").alias("node"), F.col("other_head").alias("other")))
+
+
+def _candidate_groups(sketches: DataFrame, close: DataFrame | None = None) -> DataFrame:
+    """node, component: nodes joined, directly or over others, by links of `close` or by a common band and signatures that agree.
 
     A band alone joins nothing: texts that share one by chance or by common passages stay apart unless half of their
     minima agree. Signatures, not sets, meet by band; a band of many nodes is compared in pairs of blocks, each of
@@ -160,7 +185,8 @@ def _candidate_groups(sketches: DataFrame) -> DataFrame:
     sizes = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     members = keyed.join(sizes.select("key", F.ceil(F.col("n") / BLOCK_ROWS).cast("int").alias("m")), "key")
     signed = members.join(sketches.select("node", "minima").dropDuplicates(["node"]), "node")
-    linked = components(signed.transform(_block_pairs, "key").groupBy("key", "i", "j").applyInArrow(_band_links, "node long, other long"))
+    found = signed.transform(_block_pairs, "key").groupBy("key", "i", "j").applyInArrow(_band_links, "node long, other long")
+    linked = components(found if close is None else found.union(close))
     return linked.union(linked.select(F.col("component").alias("node"), "component")).distinct()
 
 
@@ -191,13 +217,14 @@ def _named(docs: DataFrame) -> DataFrame:
 def near_copies(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """doc_id, digest (xxhash64 of the text) and component of every row.
 
-    Rows share a component if links of a shingle similarity of at least `similarity` join them.
+    Rows share a component if links of a shingle similarity of at least `similarity` join them. Candidates are what
+    SimHash links at 3 bits, as in `simhash`, and, since most pairs at 0.8 differ in more, what MinHash bands bring together.
     Rows of equal shingle sets are one node of the search; null and blank texts are one node.
     """
     named = _named(docs)
-    sketches = stored(named.mapInArrow(_sketches, "doc_id long, digest long, node long, bands array<long>, minima binary"), "sketches")
+    sketches = stored(named.mapInArrow(partial(_sketches, prints=True), f"{SKETCH}, fp long"), "sketches")
     row = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "digest")
-    groups = stored(_candidate_groups(sketches), "candidate-groups")
+    groups = stored(_candidate_groups(sketches, _print_links(sketches)), "candidate-groups")
     first = sketches.groupBy("node").agg(F.min(row).alias("row")).join(groups, "node")
     first = first.select("node", "component", F.col("row.doc_id").alias("_id"), F.col("row.digest").alias("_digest"))
     texts = named.join(first, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("digest") == F.col("_digest")))

@@ -1,12 +1,14 @@
 from __future__ import annotations
 
 import random
+from functools import partial
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from basketwork.llm import similar
+from basketwork.llm import simhash, similar
 from llm_fixtures import docs, odd  # noqa: F401
 
 
@@ -98,3 +100,22 @@ def test_chance_bands_do_not_join_groups(docs):
     keys = [k for r in sketches.collect() for k in r.bands]
     assert len(set(keys)) < len(keys)  # some bands do meet
     assert similar._candidate_groups(sketches).count() < 10
+
+
+def test_fingerprints_bring_candidates_together(docs):
+    """Texts that SimHash links are candidates of each other without any common band; their prints are those of `simhash`."""
+    rng = random.Random(4)
+    texts = []
+    for _ in range(5):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(3000)]
+        texts += [" ".join(words), " ".join([*words, "more"])]
+    frame = similar._named(docs(*texts, "", "One two"))
+    sketches = frame.mapInArrow(partial(similar._sketches, prints=True), f"{similar.SKETCH}, fp long")
+    rows = sorted(sketches.collect(), key=lambda r: r.doc_id)
+    prints = [simhash.fingerprint(t.encode(), similar.SHINGLE) for t in [*texts, "", "One two"]]
+    assert [r.fp % (1 << 64) for r in rows] == prints
+    close = [i for i in range(0, 10, 2) if (prints[i] ^ prints[i + 1]).bit_count() <= 3]
+    assert len(close) >= 3
+    apart = sketches.withColumn("bands", F.array(F.col("doc_id")))
+    group = {r.node: r.component for r in similar._candidate_groups(apart, similar._print_links(apart)).collect()}
+    assert all(group[rows[i].node] == group[rows[i + 1].node] for i in close) and len(set(group.values())) == len(close)
