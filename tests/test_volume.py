@@ -13,6 +13,7 @@ from basketwork.plans import landing
 from basketwork.sources import sample_feeds, tables
 from basketwork.sources.layout import Layout
 from basketwork.streaming import fact as fact_stream
+from basketwork.streaming import transactions as stream
 
 
 def test_drops_are_compressed_and_whole(spark, tmp_path):
@@ -69,3 +70,36 @@ def test_stream_keeps_no_checkpoint_of_versions(spark, feed, tmp_path, monkeypat
     for batch_id, amount in enumerate((10.0, 12.0)):
         fact_stream.merge_batch(feed("sales_transactions", {"transaction_id": "1", "amount": amount, "status": "COMPLETED"}), batch_id, target)
     assert [r.transaction_id for r in tables.stored_fact(spark, target.fact).collect()] == ["1"]
+
+
+def test_streamed_sales_are_compressed_and_their_state_is_on_disk(spark, feed, tmp_path):
+    source, staging, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    feed("sales_transactions", *[{"transaction_id": str(i % 5)} for i in range(20)]).write.json(source)
+    settings = {key: spark.conf.get(key, None) for key in stream.STATE_SETTINGS}
+    stream.load_stream(stream.first_deliveries(stream.read_stream(spark, source)), staging, state).awaitTermination()
+    assert settings == {key: spark.conf.get(key, None) for key in stream.STATE_SETTINGS}
+    assert spark.read.parquet(staging).count() == 5
+    assert all(".zstd." in p.name for p in Path(staging).glob("part-*"))
+    kept = {p.suffix for p in Path(state, "state").rglob("[0-9]*.*")}
+    assert kept and ".delta" not in kept
+
+
+def test_a_stream_begun_in_memory_goes_on_with_its_state(spark, feed, tmp_path, monkeypatch):
+    source, staging, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+
+    def load(*ids):
+        feed("sales_transactions", *[{"transaction_id": i} for i in ids]).write.mode("append").json(source)
+        stream.load_stream(stream.first_deliveries(stream.read_stream(spark, source)), staging, state).awaitTermination()
+        return sorted(r.transaction_id for r in spark.read.parquet(staging).collect())
+
+    with monkeypatch.context() as patched:
+        patched.setattr(stream, "STATE_SETTINGS", {})
+        assert load("a", "b") == ["a", "b"]
+    assert load("b", "c") == ["a", "b", "c"]
+
+
+def test_the_origin_of_streamed_sales_is_not_shuffled(spark, feed, tmp_path):
+    feed("sales_transactions", {"transaction_id": "1"}).write.json(f"{tmp_path}/in")
+    sales = stream.first_deliveries(stream.read_stream(spark, f"{tmp_path}/in"))
+    below = sales._jdf.queryExecution().analyzed().toString().split("DeduplicateWithinWatermark")[1]
+    assert "source_collection" in sales.columns and "source_collection" not in below
