@@ -22,11 +22,11 @@ from basketwork.sources.lake import with_metadata
 # Fixed value: how stale sales may be, and so how late a repeat may come.
 STALENESS_MINUTES = 15
 
-# The state has a key for each sale of the last minutes, all sales of a backlog among them: on disk, with bounded memory.
+# The state has a key for each sale of the last minutes, all sales of a backlog among them: on disk, with a soft limit of
+# memory per executor. Each commit writes out what it holds; with a changelog instead, stores that are done keep that memory.
 _STORE = "spark.sql.streaming.stateStore"
 STATE_SETTINGS = {
     f"{_STORE}.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-    f"{_STORE}.rocksdb.changelogCheckpointing.enabled": "true",
     f"{_STORE}.rocksdb.boundedMemoryUsage": "true",
     f"{_STORE}.rocksdb.trackTotalNumberOfRows": "false",
 }
