@@ -18,6 +18,8 @@ SEGMENT_BITS = 32
 # Rows of one key that meet in a plain join, at most; keys with more are compared in blocks.
 PLAIN_PAIRS = 256
 BLOCK = 1024
+# Full keys that are broadcast, at most: a few MB.
+BROADCAST_KEYS = 100_000
 
 _BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.int64)
 _BYTE_OFFSETS = (np.arange(8) * 256).astype(np.intp)
@@ -118,6 +120,8 @@ def links(fps: DataFrame, distance: int = 3, plain_pairs: int = PLAIN_PAIRS, blo
     A key with few rows joins plainly and its pairs are verified on all 64 bits. The rows of a
     fuller key are dealt into blocks; pairs of blocks are compared in many tasks, and each
     returns a spanning forest of its links, so output stays in proportion to the rows.
+    Spark takes exploded rows for no more than the fingerprints they come from and would broadcast
+    them, so the joins are named: by shuffle and sort, or with the counted full keys broadcast.
     """
     if distance > 3:
         raise ValueError("two halves with balls of radius 1 reach three differing bits")
@@ -129,10 +133,11 @@ def links(fps: DataFrame, distance: int = 3, plain_pairs: int = PLAIN_PAIRS, blo
         sides.groupBy("key").agg(F.sum("t").alias("t"), F.sum("p").alias("p")).filter(f"t > 1 and t * p > {plain_pairs}"),
         "full-keys",
     )
+    full = full.hint("broadcast" if full.count() <= BROADCAST_KEYS else "merge")
     plain = (
         probes.join(full.select("key"), "key", "left_anti")
         .select("key", F.col("fp").alias("node"))
-        .join(entries.select("key", F.col("fp").alias("other")), "key")
+        .join(entries.select("key", F.col("fp").alias("other")).hint("merge"), "key")
         .filter(f"node <> other and bit_count(node ^ other) <= {distance}")
         .select("node", "other")
     )

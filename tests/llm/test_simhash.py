@@ -90,3 +90,27 @@ def test_odd_rows(odd):
 def test_empty(docs):
     assert simhash.near_duplicates(docs()).count() == 0
     assert simhash.without_near_duplicates(docs()).count() == 0
+
+
+def broadcast_parts(df) -> list[str]:
+    """The parts of a plan below its broadcasts."""
+    lines = df._jdf.queryExecution().executedPlan().toString().splitlines()
+    depth = [len(line) - len(line.lstrip(" :+-")) for line in lines]
+    out = []
+    for i, line in enumerate(lines):
+        if "BroadcastExchange" in line:
+            end = next((j for j in range(i + 1, len(lines)) if depth[j] <= depth[i]), len(lines))
+            out.append("\n".join(lines[i:end]))
+    return out
+
+
+@pytest.mark.parametrize("most", [0, 100_000])
+def test_exploded_rows_are_not_broadcast(spark, monkeypatch, most):
+    """Spark takes them for as few as the fingerprints, which fit a broadcast while the exploded rows do not."""
+    monkeypatch.setattr(simhash, "BROADCAST_KEYS", most)
+    fps = simhash.stored(spark.createDataFrame([(v - (1 << 64) if v >> 63 else v,) for v in set(near_values())], "fp long"), "fps")
+    found = simhash.links(fps, 3, 2, 8)
+    parts = broadcast_parts(found)
+    assert bool(parts) == bool(most) and not any("Generate" in part for part in parts)
+    groups = lambda rows: {(r.node, r.component) for r in rows}
+    assert groups(simhash.components(found).collect()) == groups(simhash.components(simhash.links(fps)).collect())
