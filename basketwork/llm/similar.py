@@ -183,7 +183,7 @@ def _candidate_groups(sketches: DataFrame, close: DataFrame | None = None) -> Da
     """
     keyed = stored(sketches.select("node", F.explode("bands").alias("key")).distinct(), "bands")
     sizes = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    members = keyed.join(sizes.select("key", F.ceil(F.col("n") / BLOCK_ROWS).cast("int").alias("m")), "key")
+    members = keyed.join(sizes.select("key", F.ceil(F.col("n") / BLOCK_ROWS).cast("int").alias("m")).hint("merge"), "key")
     signed = members.join(sketches.select("node", "minima").dropDuplicates(["node"]), "node")
     found = signed.transform(_block_pairs, "key").groupBy("key", "i", "j").applyInArrow(_band_links, "node long, other long")
     linked = components(found if close is None else found.union(close))
@@ -227,7 +227,8 @@ def near_copies(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     groups = stored(_candidate_groups(sketches, _print_links(sketches)), "candidate-groups")
     first = sketches.groupBy("node").agg(F.min(row).alias("row")).join(groups, "node")
     first = first.select("node", "component", F.col("row.doc_id").alias("_id"), F.col("row.digest").alias("_digest"))
-    texts = named.join(first, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("digest") == F.col("_digest")))
+    # Texts that repeat are small files, whose size Spark would take for that of the rows and broadcast them.
+    texts = named.join(first.hint("merge"), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("digest") == F.col("_digest")))
     found = texts.select("node", "component", "text").mapInArrow(_sets, "node long, component long, hashes binary, minima binary")
     sets = stored(found.dropDuplicates(["node", "component"]), "candidate-sets")
     linked = components(links(sets, similarity))

@@ -119,3 +119,12 @@ def test_fingerprints_bring_candidates_together(docs):
     apart = sketches.withColumn("bands", F.array(F.col("doc_id")))
     group = {r.node: r.component for r in similar._candidate_groups(apart, similar._print_links(apart)).collect()}
     assert all(group[rows[i].node] == group[rows[i + 1].node] for i in close) and len(set(group.values())) == len(close)
+
+
+def test_texts_are_not_broadcast(docs, monkeypatch):
+    """The file of many copies of one text is small, its rows are not."""
+    plans, real = {}, similar.stored
+    monkeypatch.setattr(similar, "stored", lambda df, name: plans.setdefault(name, df._jdf.queryExecution().executedPlan().toString()) and real(df, name))
+    frame = real(docs(*["one text of six words here"] * 50, "another text of six words there"), "docs")
+    assert len({r.component for r in similar.near_copies(frame).collect()}) == 2
+    assert "SortMergeJoin [coalesce(doc_id" in plans["candidate-sets"]
