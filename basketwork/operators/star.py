@@ -339,13 +339,17 @@ def kept_sales(
     empty_campaign_as_null: bool = False,
     sizes: Callable[[DataFrame], int] | None = None,
     within: Sequence[str] = (),
+    counted: DataFrame | None = None,
 ) -> DataFrame:
-    """`fact_sales` without the derived columns; `within`: see `best_transactions`."""
+    """`fact_sales` without the derived columns; `within`: see `best_transactions`.
+
+    Hot keys are counted in `counted`, by default in `transactions`.
+    """
     sales = cleaned_sales(best_transactions(transactions, FACT_SOURCES, within), loaded_at, empty_campaign_as_null)
     kept = sales.filter(F.col("status").isin(KEPT_SALE_STATUSES) & (F.col("amount") > 0))
     for dim, key in ((customers, "customer_id"), (products, "product_id")):
         keys = dim.select(key)
         kept = attach(
-            kept, keys, key, "left_semi", _size(keys, sizes), salt_on="transaction_id", counted=transactions
+            kept, keys, key, "left_semi", _size(keys, sizes), salt_on="transaction_id", counted=transactions if counted is None else counted
         )
     return kept.select(*sales.columns)

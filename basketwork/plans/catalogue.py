@@ -323,9 +323,8 @@ def _streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _streamed_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The sales in three deliveries, which share many sales, streamed into an empty fact one after the other."""
     folder = _fresh_folder(spark)
-    sample = sample_warehouse(spark, sf_dir)
-    for name in ("dim_customers", "dim_products"):
-        tables.write_dimension(sample.tables[name], name, f"{folder}/{name}")
+    tables.write_dimension(star.dim_customers(sample_feeds.customers(spark, sf_dir)), "dim_customers", f"{folder}/dim_customers")
+    tables.write_dimension(star.dim_products(sample_feeds.products(spark, sf_dir)), "dim_products", f"{folder}/dim_products")
     feed = sample_feeds.transactions(spark, sf_dir)
     # files of a bounded number of records, a third of them a delivery; equal sales differ in hash, so deliveries share sales
     files = 1 + sample_feeds.table(spark, sf_dir, "lineitem").count() // (3 * lake.FILE_RECORDS)

@@ -15,9 +15,10 @@ have smaller ids, so the same folders get the same rows: a batch may stop anywhe
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -54,11 +55,19 @@ def arrivals(spark: SparkSession, path: str, files_per_batch: int | None = None)
 
 
 def _versions(spark: SparkSession, target: Target, batch_id: int) -> DataFrame:
-    """The batch's sales in all their versions up to now, with the batch that brought each."""
+    """The batch's sales in all their versions up to now.
+
+    The batch's own rows go through the semi-join too, so its rows stay dealt out by sale for the rank that follows.
+    """
     state = tables.stored_or_empty(spark, target.state, STATE_SCHEMA)
-    new = state.filter(F.col("batch_id") == batch_id)
-    old = state.filter(F.col("batch_id") < batch_id).join(new.select("transaction_id"), "transaction_id", "left_semi")
-    return new.unionByName(old)
+    if state.filter(F.col("batch_id") < batch_id).isEmpty():
+        return _of_batch(state, batch_id)
+    ids = _of_batch(state, batch_id).select("transaction_id")
+    return state.filter(F.col("batch_id") <= batch_id).join(ids, "transaction_id", "left_semi")
+
+
+def _of_batch(state: DataFrame, batch_id: int) -> DataFrame:
+    return state.filter(F.col("batch_id") == batch_id)
 
 
 def _scratch(spark: SparkSession, target: Target, name: str, rows: DataFrame) -> DataFrame:
@@ -73,32 +82,40 @@ def _folder(target: Target) -> Column:
     return day if target.layout.folder == "day" else F.date_format(day, "yyyy-MM")
 
 
+def _with_folders(rows: DataFrame, target: Target) -> tuple[DataFrame, Observation]:
+    """`rows`, and the names of their folders as `folders`, known once a job has read all of the rows."""
+    seen = Observation()
+    return rows.observe(seen, F.collect_set(_folder(target).cast("string")).alias("folders")), seen
+
+
 def merge_batch(batch: DataFrame, batch_id: int, target: Target) -> None:
     """Bring one micro-batch of raw sales into the fact; doing it again changes nothing.
 
-    Sales without an id are left out, as in the transform. The list of touched folders, which the calendar bounds,
-    is all that reaches the driver.
+    Sales without an id are left out, as in the transform. Three jobs: the best rows of the batch, the best versions
+    of its sales, the touched folders. The lists of folders, which the calendar bounds, are all that reaches the
+    driver; the jobs that need the rows anyway make them.
     """
     spark, column = batch.sparkSession, target.layout.column
     best = star.best_transactions(batch.select(*schemas.TRANSACTIONS.fieldNames()))
     keep = best.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("overwrite").partitionBy("batch_id")
     keep.option("partitionOverwriteMode", "dynamic").option("compression", "zstd").parquet(target.state)
-    state = tables.stored_or_empty(spark, target.state, STATE_SCHEMA)
-    versions = _scratch(spark, target, "versions", _versions(spark, target, batch_id))
-    touched = [r[0] for r in versions.select(_folder(target)).distinct().collect()]
-    if not touched:
+    ours = _of_batch(tables.stored_or_empty(spark, target.state, STATE_SCHEMA), batch_id)
+    if ours.isEmpty():
         return
+    versions = _versions(spark, target, batch_id).select(*star.FACT_SOURCES)
+    cleaned = star.cleaned_sales(versions, target.loaded_at, target.empty_campaign_as_null)
+    fact = tables.stored_or_empty(spark, target.fact, target.layout.with_folder(star.with_derived(cleaned)).schema)
+    watched, touched = _with_folders(versions, target)
     customers, products = (tables.stored(spark, f"{target.warehouse}/{n}") for n in ("dim_customers", "dim_products"))
-    found = star.kept_sales(versions.drop("batch_id"), customers, products, target.loaded_at, target.empty_campaign_as_null)
+    found = star.kept_sales(watched, customers, products, target.loaded_at, target.empty_campaign_as_null, counted=ours)
     rows = _scratch(spark, target, "rows", found)
-    schema = target.layout.with_folder(star.with_derived(rows)).schema
-    there = tables.stored_or_empty(spark, target.fact, schema).filter(tables.one_of(column, touched))
-    ours = state.filter(F.col("batch_id") == batch_id).select("transaction_id")
-    kept = there.select(*rows.columns).join(ours, "transaction_id", "left_anti").select(*rows.columns)
-    both = kept.unionByName(rows)
-    filled = {str(r[0]) for r in both.select(_folder(target)).distinct().collect()}
+    folders = touched.get["folders"]
+    days = [dt.date.fromisoformat(f) for f in folders] if target.layout.folder == "day" else folders
+    there = fact.filter(tables.one_of(column, days)).select(*rows.columns)
+    kept = there.join(ours.select("transaction_id"), "transaction_id", "left_anti").select(*rows.columns)
+    both, filled = _with_folders(kept.unionByName(rows), target)
     tables.replace_days(both, target.fact, target.layout, {"customer_id": customers, "product_id": products}, star.with_derived)
-    for folder in {str(value) for value in touched} - filled:
+    for folder in set(folders) - set(filled.get["folders"]):
         tables.remove_folder(spark, f"{target.fact}/{column}={folder}")
 
 

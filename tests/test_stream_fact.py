@@ -143,3 +143,12 @@ def test_only_touched_folders_are_read_and_written(spark, shop):
     check()
     same = {d: os.listdir(f"{target.fact}/transaction_date=2024-06-0{d}") == files[d] for d in files}
     assert same == {1: True, 2: False, 3: True}
+
+
+def test_versions_are_not_written_again(shop):
+    """Beside the state only the rows of the batch that reach the fact are kept; earlier versions are read where they lie."""
+    target, deliver, run, check = shop(LAYOUTS[0])
+    for rows in deliveries(5, 2):
+        deliver(rows)
+        run()
+    assert check() > 0 and os.listdir(f"{target.state}-scratch") == ["rows"]
