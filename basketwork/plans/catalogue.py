@@ -245,7 +245,8 @@ def _campaign_documents(spark: SparkSession, raw: dict) -> DataFrame:
 
 def _sale_documents(spark: SparkSession, raw: dict, cap: int | None) -> DataFrame:
     docs = documents.read_documents(spark, raw["sales_transactions"], "sales_transactions")
-    return documents.fill_campaign(documents.sale_documents(docs, cap)).drop("document_id", "updated_date")
+    newest = documents.newest_first(documents.sale_documents(docs, cap))
+    return documents.fill_campaign(newest).drop("document_id", "updated_date")
 
 
 def _all_sale_documents(spark: SparkSession, raw: dict) -> DataFrame:

@@ -103,8 +103,17 @@ def fill_campaign(sales: DataFrame) -> DataFrame:
     return sales.withColumn("campaign_id", F.coalesce("campaign_id", F.lit("")))
 
 
+def newest_first(sales: DataFrame, statuses: list[str] | None = None) -> DataFrame:
+    """S4's order: status by status as they are read, in each the newest first, those without date last.
+
+    A sort over ranges of all keys, so no task gathers a status. A landing does not need it.
+    """
+    place = F.array_position(F.array(*map(F.lit, statuses or SALE_STATUSES)), F.col("status"))
+    return sales.orderBy(place, F.desc_nulls_last("transaction_date"), "transaction_id", "document_id")
+
+
 def sale_documents(docs: DataFrame, cap: int | None = None, statuses: list[str] | None = None) -> DataFrame:
-    """Sales in the read statuses; `cap`, off by default, keeps the newest `cap` of each.
+    """Sales in the read statuses, in no order (see `newest_first`); `cap`, off by default, keeps the newest `cap` of each.
 
     With a cap, a count per status and day finds the day each status is cut on. Newer days pass
     without any shuffle; only the cut day is ranked, first within shares and then among the

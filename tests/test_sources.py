@@ -10,6 +10,7 @@ from conftest import rows_by
 from pyspark.sql import functions as F
 
 from basketwork import schemas
+from basketwork.plans import catalogue
 from basketwork.sources import contracts, documents, lake, tables
 
 AT = dt.datetime(2024, 6, 30, 12)
@@ -111,6 +112,17 @@ def test_newest_sales_per_status(feed):
     assert documents.sale_documents(docs).count() == 27
 
 
+@pytest.mark.parametrize("cap", [None, 2])
+def test_sales_come_newest_first_per_status(spark, feed, tmp_path, cap):
+    days = {"pending": [3, None, 9, 9], "cancelled": [1, 5], "completed": [2, None, 8], "refunded": [7]}
+    rows = [sale(i, status, day) for status, found in days.items() for i, day in enumerate(found)]
+    feed("sales_transactions", *rows).repartition(4).write.json(str(tmp_path / "sales"))
+    out = catalogue._sale_documents(spark, {"sales_transactions": str(tmp_path / "sales")}, cap).collect()
+    expected = ["completed2", "completed0", "completed1", "pending2", "pending3", "pending0", "pending1", "cancelled1", "cancelled0"]
+    dated = {"completed1", "pending0", "pending1"}
+    assert [r.transaction_id for r in out] == [i for i in expected if cap is None or i not in dated]
+
+
 @pytest.mark.parametrize("cap", [1, 7, 50, 199, 200, 500])
 def test_newest_sales_match_a_full_sort(spark, feed, cap):
     """A third of the sales fall on one day of one status."""
